@@ -35,7 +35,7 @@ def metrics_from_log(lines: DataFrame, patterns: dict[str, str] | None = None, t
     for name, rx in patterns.items():
         v = F.regexp_extract(F.col(text), rx, 1)
         parts.append(lines.where(v != "").select(F.lit(name).alias("metric_name"),
-                                                  F.try_cast(v, "double").alias("value")))
+                                                  v.try_cast("double").alias("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

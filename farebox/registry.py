@@ -326,9 +326,9 @@ def q_f7(spark, d):
 
 
 @register("f8_name_contains", with_ctes(
-    "SELECT trip_key, pickup_zone FROM enriched WHERE contains(pickup_zone, 'IA')", "enriched"))
+    "SELECT trip_key, pickup_zone FROM enriched WHERE contains(pickup_zone, 'NATION_1')", "enriched"))
 def q_f8(spark, d):
-    return CL.name_contains(enriched(spark, d).select("trip_key", "pickup_zone"), "pickup_zone", "IA")
+    return CL.name_contains(enriched(spark, d).select("trip_key", "pickup_zone"), "pickup_zone", "NATION_1")
 
 
 # ------------------------------------------------------------------ joins J1-J3

@@ -113,7 +113,7 @@ def infer_types(df: DataFrame, sample_fraction: float | None = None, seed: int =
     for c in strings:
         v = F.trim(F.col(c))
         for t in _INFER_ORDER:
-            bad = (v.isNotNull() & (v != "") & F.try_cast(v, t).isNull()).cast("long")
+            bad = (v.isNotNull() & (v != "") & v.try_cast(t).isNull()).cast("long")
             aggs.append(F.sum(bad).alias(f"{c}__{t}"))
     row = src.agg(*aggs).first()
     out = {}
@@ -126,7 +126,7 @@ def infer_and_cast(df: DataFrame, sample_fraction: float | None = None) -> DataF
     """Infer types (one job) then cast with ``try_cast`` (values that do not fit become null)."""
     types = infer_types(df, sample_fraction)
     return df.select(*[
-        F.try_cast(F.trim(F.col(c)), types[c]).alias(c) if types.get(c, "string") != "string" else F.col(c)
+        F.trim(F.col(c)).try_cast(types[c]).alias(c) if types.get(c, "string") != "string" else F.col(c)
         for c in df.columns])
 
 
