@@ -92,7 +92,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
+def list_files(spark: SparkSession, path: str, suffix: str = "", non_empty: bool = False) -> list[str]:
     """Names of files directly under ``path`` (metadata only, no data)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -102,11 +102,25 @@ def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
     out = []
     for st in fs.listStatus(hpath):
         name = st.getPath().getName()
-        if st.isFile() and name.endswith(suffix) and not name.startswith(("_", ".")):
+        if (st.isFile() and name.endswith(suffix) and not name.startswith(("_", "."))
+                and (not non_empty or st.getLen() > 0)):
             out.append(st.getPath().toString())
     return sorted(out)
 
 
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """First line of one file through the Hadoop filesystem (reads a few bytes, not the file)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(file)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(hpath)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine()
+    finally:
+        stream.close()
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.session import list_files, path_exists
+from farebox.session import first_line, list_files, path_exists
 
 
 def read_parquet(spark: SparkSession, path: str | list[str], recursive: bool = False,
@@ -65,10 +65,19 @@ def csv_files(spark: SparkSession, path: str) -> list[str]:
     return files
 
 
+def first_data_file(spark: SparkSession, files: list[str]) -> str:
+    """The first non-empty file (writers leave empty part files for empty partitions)."""
+    sized = set(list_files(spark, files[0].rsplit("/", 1)[0], ".csv", non_empty=True))
+    for f in files:
+        if f in sized:
+            return f
+    raise FileNotFoundError("all CSV files of the channel are empty")
+
+
 def first_line_is_header(spark: SparkSession, file: str) -> tuple[bool, list[str]]:
     """S7 helper: a header is present iff some token of the first line is not a number."""
-    first = spark.read.text(file).limit(1).collect()
-    tokens = first[0]["value"].strip().split(",") if first else []
+    line = first_line(spark, file) or ""
+    tokens = line.strip().split(",")
 
     def is_num(tok: str) -> bool:
         try:
@@ -88,7 +97,7 @@ def read_channel(spark: SparkSession, path: str) -> DataFrame:
     Headerless columns are named ``_c0, _c1, ...`` (``_c0`` is the label).
     """
     files = csv_files(spark, path)
-    has_header, tokens = first_line_is_header(spark, files[0])
+    has_header, tokens = first_line_is_header(spark, first_data_file(spark, files))
     names = [t.strip() for t in tokens] if has_header else [f"_c{i}" for i in range(len(tokens))]
     schema = T.StructType([T.StructField(n, T.DoubleType(), True) for n in names])
     return spark.read.option("header", str(has_header).lower()).schema(schema).csv(files)
