@@ -15,6 +15,15 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from farebox.session import scratch_path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and return a scan of it."""
+    path = scratch_path(df.sparkSession, "tables", name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
     """A1 as a one-row frame."""
@@ -80,6 +89,10 @@ def auc(df: DataFrame, label: str = "label", score: str = "score", threshold: fl
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("pos"),
         F.sum(F.when(y == 0, 1).otherwise(0)).cast("double").alias("neg"),
     )
+    # The per-score table feeds three jobs (count, quantiles, ranking): write it
+    # once as a table in the shared checkpoint folder instead of re-running the
+    # input plan (a written table also cuts lineage for executor-loss recovery).
+    per_score = materialize(per_score, "auc_per_score")
     distinct_scores = per_score.count()
     bucketed = _score_buckets(per_score, "s", distinct_scores)
     per_bucket = bucketed.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))
@@ -114,13 +127,25 @@ def distinct_categories(df: DataFrame, columns: list[str], max_categories: int =
     encoding expressions, so its size is bounded: more than ``max_categories``
     values in a column raises instead of truncating.
     """
-    out = {}
+    if not columns:
+        return {}
+    # one job for all columns: (column, value) pairs, deduplicated with a partial aggregate
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                                for c in columns])).alias("p")
+    cap = max_categories * len(columns) + 1
+    vals = (df.select(pairs).where(F.col("p.v").isNotNull()).groupBy("p.c", "p.v").agg(F.count(F.lit(1)))
+            .select("c", "v").limit(cap).collect())
+    out = {c: [] for c in columns}
+    for r in vals:
+        out[r["c"]].append(r["v"])
+    types = dict(df.dtypes)
     for c in columns:
-        vals = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-                .select(c).limit(max_categories + 1).collect())
-        if len(vals) > max_categories:
+        if len(out[c]) > max_categories or len(vals) >= cap:
             raise ValueError(f"column {c!r} has more than {max_categories} categories")
-        out[c] = sorted(r[0] for r in vals)
+        if types[c] != "string":  # restore the column's own type for sorting and comparison
+            out[c] = [r[0] for r in df.sparkSession.createDataFrame([(v,) for v in out[c]], "v string")
+                      .select(F.col("v").cast(types[c])).collect()]
+        out[c] = sorted(out[c])
     return out
 
 
