@@ -69,6 +69,16 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Write ``build()`` once per session and source folder as Parquet; return a scan of it."""
+    return spark.read.parquet(stage_path(spark, sf_dir, name, build))
+
+
+def trips_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the staged raw trips Parquet files (a file source for streaming runs)."""
+    return stage_path(spark, sf_dir, "trips", lambda: trips_view(spark, sf_dir))
+
+
+def stage_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Path of the staged table, writing it first when this session has not yet."""
     import hashlib
     import uuid
 
@@ -86,7 +96,7 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         df.write.mode("overwrite").parquet(tmp)
         if not rename_path(spark, tmp, final) and not path_exists(spark, final):
             raise RuntimeError(f"could not stage {name} at {final}")
-    return spark.read.parquet(final)
+    return final
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -803,10 +803,10 @@ def q_m17(spark, d):
 
 @register("st1_stream_canonical_available_now", with_ctes("SELECT * FROM enriched", "enriched"))
 def q_st1(spark, d):
-    base = _materialize_trips(spark, d)
-    schema = trips(spark, d).schema
+    source = X.trips_path(spark, d)
+    schema = spark.read.parquet(source).schema
     out = scratch_path(spark, "stream_out")
-    return run_available_now(spark, f"{base}/*/month=01", schema, zones(spark, d), out, scratch_path(spark, "stream_ckpt"))
+    return run_available_now(spark, source, schema, zones(spark, d), out, scratch_path(spark, "stream_ckpt"))
 
 
 # ------------------------------------------------------------------ pyspark.ml (rows-only checks)
