@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.operators import aggregate as A
+from farebox.session import scratch_path
 
 # ---------------------------------------------------------------- fixed values
 # Accepted hyperparameter ranges (inclusive) and the reference's defaults.
@@ -75,10 +76,23 @@ def gbt_pipeline(features: list[str], label: str, hp: Hyperparameters) -> Pipeli
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), gbt])
 
 
+def persist_model(model: PipelineModel, spark: SparkSession, name: str = "model") -> PipelineModel:
+    """Write the fitted model to the shared folder and load it back (the model artifact).
+
+    The loaded model carries no training summary; a summary holds a reference
+    to the session, which stops the model from being shipped to executors once
+    the session has used an ``Observation``.
+    """
+    path = scratch_path(spark, "models", name)
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
 def train_gbt(train: DataFrame, label: str, hp: Hyperparameters | None = None) -> PipelineModel:
     """M8: gradient-boosted trees on every column but the label."""
     hp = validate_hyperparameters(hp or Hyperparameters())
-    return gbt_pipeline(feature_columns(train, label), label, hp).fit(_prepared(train, label))
+    model = gbt_pipeline(feature_columns(train, label), label, hp).fit(_prepared(train, label))
+    return persist_model(model, train.sparkSession, "gbt")
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
@@ -129,8 +143,8 @@ def tune(train: DataFrame, validation: DataFrame, label: str, trials: int = TUNI
 
     def run(i: int):
         lr, depth = points[i]
-        model = gbt_pipeline(features, label, validate_hyperparameters(
-            Hyperparameters(lr, trees, depth))).fit(tr)
+        model = persist_model(gbt_pipeline(features, label, validate_hyperparameters(
+            Hyperparameters(lr, trees, depth))).fit(tr), tr.sparkSession, f"trial{i + 1}")
         return i, model, auc_of(model, va, label)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -158,8 +172,9 @@ def rank_candidates(spark: SparkSession, train: DataFrame, validation: DataFrame
     features = feature_columns(train, label)
     rows = []
     for name, est in candidates(label)[:max_candidates]:
-        model = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features",
-                                                 handleInvalid="keep"), est]).fit(_prepared(train, label))
+        model = persist_model(Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features",
+                                                               handleInvalid="keep"), est]).fit(
+            _prepared(train, label)), spark, name)
         scored = score(model, _prepared(validation, label))
         m = A.auc(scored, label).first()
         rows.append((name, "accuracy", float(m["accuracy"]), float(m["auc"])))

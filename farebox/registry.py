@@ -523,6 +523,20 @@ def q_k3(spark, d):
     return RD.read_channel(spark, f"{path}/split=train")
 
 
+_A_COLS = ["high_tip", "trip_distance", "trip_duration_min", "trip_speed_mph", "pickup_hour", "passenger_count",
+           "fare_amount", "is_airport_trip", *A_DUMMY_NAMES]
+
+
+@register("s5_csv_header_explicit_schema", with_ctes(
+    "SELECT " + ", ".join(f"\"{c}\"" for c in _A_COLS) + " FROM ds_a WHERE split = 'validation'", "ds_a"))
+def q_s5(spark, d):
+    path = scratch_path(spark, "dataset_a_csv")
+    ds = dataset_a(spark, d).drop("trip_key")
+    WR.write_splits(ds, path, header=True)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in ds.drop("split").schema.fields])
+    return RD.read_csv(spark, f"{path}/split=validation", header=True, schema=schema)
+
+
 @register("k4_s6_s7_splits_headerless", with_ctes(
     "SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS _c{i}" for i, c in enumerate(["high_tip", *B_FEATURES]))
     + " FROM ds_b WHERE split = 'validation'", "ds_b"))

@@ -66,3 +66,11 @@ def test_tuning_points_in_ranges():
     assert len(pts) == 4 and len(set(pts)) == 4
     assert all(0.01 <= lr <= 0.3 and 2 <= d <= 6 for lr, d in pts)
     assert np.isclose(L.tuning_points(4)[0][0], pts[0][0])
+
+
+@pytest.mark.parametrize("name", ["l6_bernoulli_sample", "m8_m9_gbt_train_and_score", "m12_l4_tuning_best_trial",
+                                  "m13_run_log_compare", "m19_l3_candidate_leaderboard"])
+def test_rows_only_queries_run(spark, name):
+    import __spark_entry__ as E
+    df = E.queries()[name](spark, SF001)
+    assert df.count() >= 1 and len(df.columns) >= 1
