@@ -64,21 +64,22 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint folder (atomic rename, reused by later queries) and every query
     scans plain columns with pushed filters.  Content is identical to the view.
     """
-    return stage(spark, sf_dir, "trips", lambda: trips_view(spark, sf_dir))
-
-
-def stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Write ``build()`` once per session and source folder as Parquet; return a scan of it."""
-    return spark.read.parquet(stage_path(spark, sf_dir, name, build))
+    return spark.read.parquet(trips_path(spark, sf_dir))
 
 
 def trips_path(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of the staged raw trips Parquet files (a file source for streaming runs)."""
-    return stage_path(spark, sf_dir, "trips", lambda: trips_view(spark, sf_dir))
+    """Folder of the staged raw trips Parquet files (also the file source of streaming runs)."""
+    return stage_path(spark, sf_dir, "trips", lambda: table(spark, sf_dir, "lineitem"),
+                      lambda li: li.selectExpr(*TRIPS_SPARK_EXPRS))
 
 
-def stage_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    """Path of the staged table, writing it first when this session has not yet."""
+def stage_path(spark: SparkSession, sf_dir: str, name: str, source, project=lambda df: df) -> str:
+    """Path of ``project(source())`` staged as Parquet, writing it first when this session has not yet.
+
+    A source with fewer splits than the cluster's parallelism is re-split
+    before the projection, so the per-row expressions run in parallel; large
+    sources keep their natural splits (no shuffle).
+    """
     import hashlib
     import uuid
 
@@ -87,11 +88,11 @@ def stage_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     key = hashlib.md5(f"{sf_dir.rstrip('/')}|{name}".encode()).hexdigest()[:16]
     final = f"{checkpoint_root(spark).rstrip('/')}/farebox/staged/{key}/{name}"
     if not path_exists(spark, final):
-        df = build()
+        df = source()
         parallelism = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < parallelism:
-            # only small inputs get here; large inputs keep their natural scan splits
             df = df.repartition(parallelism)
+        df = project(df)
         tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
         df.write.mode("overwrite").parquet(tmp)
         if not rename_path(spark, tmp, final) and not path_exists(spark, final):

@@ -66,10 +66,25 @@ def feature_columns(df: DataFrame, label: str) -> list[str]:
     return [c for c in df.columns if c != label]
 
 
+# Rows per partition for iterative fitting: tree learners run several jobs per
+# iteration, so tiny partitions cost more in scheduling than in work.
+FIT_ROWS_PER_PARTITION = 1_000_000
+
+
 def _prepared(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn(label, F.col(label).cast("double"))
 
 
+def fit_input(df: DataFrame, label: str) -> DataFrame:
+    """Training input with right-sized partitions: ``coalesce`` (no shuffle) down to
+    ``ceil(rows / FIT_ROWS_PER_PARTITION)`` when the frame has more partitions than
+    that; large inputs keep their partitioning."""
+    rows = df.count()
+    want = max(1, -(-rows // FIT_ROWS_PER_PARTITION))
+    out = _prepared(df, label)
+    return out.coalesce(want) if df.rdd.getNumPartitions() > want else out
+
+
 def gbt_pipeline(features: list[str], label: str, hp: Hyperparameters) -> Pipeline:
     gbt = GBTClassifier(featuresCol="features", labelCol=label, stepSize=hp.learning_rate,
                         maxIter=hp.n_estimators, maxDepth=hp.max_depth, seed=SEED)
@@ -91,7 +106,7 @@ def persist_model(model: PipelineModel, spark: SparkSession, name: str = "model"
 def train_gbt(train: DataFrame, label: str, hp: Hyperparameters | None = None) -> PipelineModel:
     """M8: gradient-boosted trees on every column but the label."""
     hp = validate_hyperparameters(hp or Hyperparameters())
-    model = gbt_pipeline(feature_columns(train, label), label, hp).fit(_prepared(train, label))
+    model = gbt_pipeline(feature_columns(train, label), label, hp).fit(fit_input(train, label))
     return persist_model(model, train.sparkSession, "gbt")
 
 
@@ -139,7 +154,7 @@ def tune(train: DataFrame, validation: DataFrame, label: str, trials: int = TUNI
     """
     features = feature_columns(train, label)
     points = tuning_points(trials)
-    tr, va = _prepared(train, label), _prepared(validation, label)
+    tr, va = fit_input(train, label), _prepared(validation, label)
 
     def run(i: int):
         lr, depth = points[i]
@@ -174,7 +189,7 @@ def rank_candidates(spark: SparkSession, train: DataFrame, validation: DataFrame
     for name, est in candidates(label)[:max_candidates]:
         model = persist_model(Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features",
                                                                handleInvalid="keep"), est]).fit(
-            _prepared(train, label)), spark, name)
+            fit_input(train, label)), spark, name)
         scored = score(model, _prepared(validation, label))
         m = A.auc(scored, label).first()
         rows.append((name, "accuracy", float(m["accuracy"]), float(m["auc"])))

@@ -74,3 +74,23 @@ def test_rows_only_queries_run(spark, name):
     import __spark_entry__ as E
     df = E.queries()[name](spark, SF001)
     assert df.count() >= 1 and len(df.columns) >= 1
+
+
+def test_compiled_trees_match_model_and_both_shap_paths_agree(spark):
+    from farebox.functions import trees as TR
+    ds = M.fixed_feature_dataset(X.trips(spark, SF001)).drop("split")
+    model = L.train_gbt(ds.drop("trip_key"), "high_tip", L.Hyperparameters(0.2, 4, 2))
+    feats = TR.gbt_feature_order(model, M.FIXED_FEATURES)
+    assert feats == M.FIXED_FEATURES
+    scorer = TR.gbt_probability_scorer(model)
+    got = ds.select("trip_key", scorer([F.col(c) for c in feats]).alias("s2")).join(
+        L.score(model, ds).select("trip_key", "score"), "trip_key")
+    assert got.select(F.max(F.abs(F.col("s2") - F.col("score")))).first()[0] < 1e-12
+    rows = ds.orderBy("trip_key").limit(20)
+    base = [2.0, 12.0, 12.0, 14, 1, 12.0, 0]
+    a = EX.attributions(rows, feats, scorer, baseline=base, keep=["trip_key"])
+    b = EX.model_attributions(model, rows, feats, "trip_key", baseline=base)
+    j = a.join(b.select("trip_key", *[F.col(f"phi_{c}").alias(f"m_{c}") for c in feats]), "trip_key")
+    worst = j.select(F.greatest(*[F.abs(F.col(f"phi_{c}") - F.col(f"m_{c}")) for c in feats]).alias("d")) \
+        .agg(F.max("d")).first()[0]
+    assert j.count() == 20 and worst < 1e-12
