@@ -6,16 +6,18 @@ the published descriptions (facet value *d* against the rest *a*).
 
 Data work is one ``groupBy(facet)`` with conditional counts -- partial
 aggregation, so a facet value holding most rows costs nothing extra.  All
-metrics are column arithmetic on that small per-facet table; totals for "the
-rest" come from a window over it (one row per facet value, never fact rows).
+metrics are column arithmetic on that per-facet table; totals for "the rest"
+come from one global aggregate over it (a single row of counts).
 Every ratio uses ``try_divide`` (null instead of an ANSI error on 0/0).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farebox.operators.aggregate import materialize
+
 PRE_METRICS = ["CI", "DPL", "KL", "JS", "LP", "TVD", "KS"]
 POST_METRICS = ["DPPL", "DI", "DCA", "DCR", "RD", "AD", "DAR", "DRR", "SD", "TE", "GE"]
 
@@ -41,10 +43,16 @@ def _counts(df: DataFrame, facet: str, label: str, predicted: Column | None) ->
             F.sum(y * (1 - yh)).alias("fn_d"),
             F.sum((1 - y) * (1 - yh)).alias("tn_d"),
         ]
-    per = df.groupBy(F.col(facet).alias("facet_value")).agg(*aggs)
-    every = Window.partitionBy()  # over the per-facet table only
-    for c in [a.rsplit("_", 1)[0] for a in per.columns if a.endswith("_d")]:
-        per = per.withColumn(f"{c}_a", F.sum(f"{c}_d").over(every) - F.col(f"{c}_d"))
+    # one pass over the facts; the per-facet table (one row per facet value) is
+    # written once and read by both the totals job and the metric projection
+    per = materialize(df.groupBy(F.col(facet).alias("facet_value")).agg(*aggs), "bias_counts")
+    # Totals are one row: a global aggregate over the per-facet table, brought to
+    # the driver as literals (no window funnelling a high-cardinality facet into
+    # one task, no join).
+    names = [a.rsplit("_", 1)[0] for a in per.columns if a.endswith("_d")]
+    tot = per.agg(*[F.sum(f"{c}_d").alias(c) for c in names]).first()
+    for c in names:
+        per = per.withColumn(f"{c}_a", F.lit(int(tot[c] or 0)).cast("long") - F.col(f"{c}_d"))
     return per.withColumn("n_total", F.col("n_d") + F.col("n_a"))
 
 
