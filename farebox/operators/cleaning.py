@@ -119,9 +119,13 @@ def complete_cases(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     return drop_missing(df, list(df.columns) if subset is None else subset)
 
 
-def name_contains(df: DataFrame, column: str, text: str) -> DataFrame:
-    """F8: rows whose ``column`` contains ``text``."""
-    return df.filter(F.col(column).contains(text))
+def name_contains(df: DataFrame, column: str, text: str, prefix: bool = False) -> DataFrame:
+    """F8: rows whose ``column`` contains ``text`` (or starts with it when ``prefix=True``).
+
+    A prefix test is pushed to Parquet as ``StringStartsWith``.
+    """
+    cond = F.col(column).startswith(text) if prefix else F.col(column).contains(text)
+    return df.filter(cond)
 
 
 def drop_fields(df: DataFrame, fields: list[str] | None = None) -> DataFrame:

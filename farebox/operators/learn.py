@@ -116,6 +116,15 @@ def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
     return scored.drop("features", "rawPrediction", "probability", "prediction")
 
 
+def feature_importances(spark: SparkSession, model: PipelineModel, features: list[str]) -> DataFrame:
+    """``(feature, importance)`` of the fitted tree model (importances sum to 1)."""
+    stage = model.stages[-1]
+    if not hasattr(stage, "featureImportances"):
+        raise TypeError(f"{type(stage).__name__} has no feature importances")
+    imp = stage.featureImportances.toArray().tolist()
+    return spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
+
+
 def evaluation_report(scored: DataFrame, label: str, score_col: str = "score") -> DataFrame:
     """Accuracy at 0.5 and AUC in the metric-report shape, as one JSON string row.
 

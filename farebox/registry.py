@@ -863,6 +863,19 @@ def q_m8(spark, d):
     return L.score(model, test)
 
 
+@register("m8b_gbt_feature_importances")
+def q_m8b(spark, d):
+    model, _, _, _ = _job_model(spark, d)
+    return L.feature_importances(spark, model, M.FIXED_FEATURES)
+
+
+@register("f8b_name_prefix", with_ctes(
+    "SELECT trip_key, pickup_zone FROM enriched WHERE starts_with(pickup_zone, 'NATION_2')", "enriched"))
+def q_f8b(spark, d):
+    return CL.name_contains(enriched(spark, d).select("trip_key", "pickup_zone"), "pickup_zone", "NATION_2",
+                            prefix=True)
+
+
 @register("m17b_gbt_shap_mean_abs")
 def q_m17b(spark, d):
     model, _, _, test = _job_model(spark, d)

@@ -266,3 +266,36 @@ def test_profile(spark):
     got = {r["column_name"]: (r["non_null"], r["nulls"], r["distinct_values"])
            for r in A.profile(df, exact_distinct=True).collect()}
     assert got == {"x": (2, 1, 2), "s": (2, 1, 1)}
+
+
+def test_one_hot_rows_sum_at_most_one(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", None), ("c", "y"), (None, "x")], "c1 string, c2 string")
+    out = E.one_hot(df, ["c1", "c2"])
+    for prefix in ("c1_", "c2_"):
+        cols = [c for c in out.columns if c.startswith(prefix)]
+        sums = [sum(r[c] for c in cols) for r in out.collect()]
+        assert max(sums) <= 1 and min(sums) == 0
+    assert all(t == "int" for c, t in out.dtypes)  # never boolean (feature stores reject bool)
+
+
+def test_ntz_duration_and_calendar(spark):
+    from farebox.functions import columns as C
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 10:00:00' AS a, TIMESTAMP_NTZ'2024-01-01 10:30:30.5' AS b")
+    r = df.select(C.duration_minutes("a", "b").alias("m"), C.duration_minutes_exact("a", "b").alias("e")).first()
+    assert r["m"] == 30.5 and r["e"] == pytest.approx(30.508333333333333)
+
+
+def test_scratch_paths_have_no_double_slash(spark):
+    from farebox.session import scratch_path
+    p = scratch_path(spark, "a", "b")
+    assert "//" not in p.split(":", 1)[-1].lstrip("/")
+
+
+def test_prefix_filter_pushed(spark, tmp_path):
+    from farebox.operators import cleaning as CL
+    path = str(tmp_path / "names")
+    spark.createDataFrame([("NATION_1",), ("NATION_21",), ("X",)], "z string").write.parquet(path)
+    df = CL.name_contains(spark.read.parquet(path), "z", "NATION_2", prefix=True)
+    assert [r["z"] for r in df.collect()] == ["NATION_21"]
+    mode = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    assert "StringStartsWith(z,NATION_2)" in df._jdf.queryExecution().explainString(mode)
