@@ -32,22 +32,23 @@ def hash_threshold(hashes: DataFrame, n: int, col: str = "h") -> str | None:
     """Smallest hash ``t`` such that exactly ``n`` rows have ``h <= t``.
 
     Walks hash prefixes 4 hex digits at a time; each level is one aggregate
-    returning at most 65,536 counts.  Returns None when there are ``<= n`` rows.
+    returning at most 65,536 counts (the first level also gives the row
+    count).  The boundary cell is resolved with an ordered take once it holds
+    at most ``FINAL_TAKE_ROWS`` rows.  Returns None when there are ``<= n`` rows.
     """
-    cell_total = hashes.count()
-    if cell_total <= n:
-        return None
-    prefix, before = "", 0  # current cell prefix; rows whose hash sorts before the cell
+    prefix, before, cell_total = "", 0, None  # cell prefix; rows sorting before the cell; rows in it
     while True:
         cell = hashes.where(F.col(col).startswith(prefix)) if prefix else hashes
         if len(prefix) >= 32:  # one hash value holds the boundary: its tie group is kept whole
             return prefix
-        if cell_total <= FINAL_TAKE_ROWS:
+        if cell_total is not None and cell_total <= FINAL_TAKE_ROWS:
             rows = cell.select(col).orderBy(col).limit(n - before).collect()
             return rows[-1][0]
         level_len = len(prefix) + HEX_DIGITS_PER_LEVEL
         hist = (cell.groupBy(F.substring(col, 1, level_len).alias("p"))
                 .agg(F.count(F.lit(1)).alias("c")).orderBy("p").collect())
+        if cell_total is None and sum(r["c"] for r in hist) <= n:
+            return None
         for r in hist:
             if before + r["c"] >= n:
                 prefix, cell_total = r["p"], r["c"]
