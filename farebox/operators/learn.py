@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.operators import aggregate as A
-from farebox.session import scratch_path
+from farebox.session import checkpoint_root, scratch_path
 
 # ---------------------------------------------------------------- fixed values
 # Accepted hyperparameter ranges (inclusive) and the reference's defaults.
@@ -79,6 +79,10 @@ def fit_input(df: DataFrame, label: str) -> DataFrame:
     """Training input with right-sized partitions: ``coalesce`` (no shuffle) down to
     ``ceil(rows / FIT_ROWS_PER_PARTITION)`` when the frame has more partitions than
     that; large inputs keep their partitioning."""
+    # Tree learners checkpoint their per-iteration state every ``checkpointInterval``
+    # iterations (lineage cut, so a lost executor does not replay all iterations);
+    # that needs the context's checkpoint dir, read from / registered in the session.
+    checkpoint_root(df.sparkSession)
     rows = df.count()
     want = max(1, -(-rows // FIT_ROWS_PER_PARTITION))
     out = _prepared(df, label)
@@ -87,7 +91,7 @@ def fit_input(df: DataFrame, label: str) -> DataFrame:
 
 def gbt_pipeline(features: list[str], label: str, hp: Hyperparameters) -> Pipeline:
     gbt = GBTClassifier(featuresCol="features", labelCol=label, stepSize=hp.learning_rate,
-                        maxIter=hp.n_estimators, maxDepth=hp.max_depth, seed=SEED)
+                        maxIter=hp.n_estimators, maxDepth=hp.max_depth, seed=SEED, checkpointInterval=10)
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), gbt])
 
 
@@ -191,15 +195,19 @@ def candidates(label: str) -> list[tuple[str, object]]:
 
 
 def rank_candidates(spark: SparkSession, train: DataFrame, validation: DataFrame, label: str,
-                    max_candidates: int = 10) -> DataFrame:
-    """Fit each candidate, evaluate accuracy and AUC on ``validation``, return the trial table."""
+                    max_candidates: int = 10, parallelism: int = TUNING_PARALLELISM) -> DataFrame:
+    """Fit each candidate (``parallelism`` at a time), evaluate accuracy and AUC on
+    ``validation``; returns the candidate table for the leaderboard."""
     features = feature_columns(train, label)
-    rows = []
-    for name, est in candidates(label)[:max_candidates]:
+    tr, va = fit_input(train, label), _prepared(validation, label)
+
+    def run(item):
+        name, est = item
         model = persist_model(Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features",
-                                                               handleInvalid="keep"), est]).fit(
-            fit_input(train, label)), spark, name)
-        scored = score(model, _prepared(validation, label))
-        m = A.auc(scored, label).first()
-        rows.append((name, "accuracy", float(m["accuracy"]), float(m["auc"])))
+                                                               handleInvalid="keep"), est]).fit(tr), spark, name)
+        m = A.auc(score(model, va), label).first()
+        return name, "accuracy", float(m["accuracy"]), float(m["auc"])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(run, candidates(label)[:max_candidates]))
     return spark.createDataFrame(rows, "candidate string, metric_name string, value double, auc double")
