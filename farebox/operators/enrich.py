@@ -15,33 +15,50 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimensions up to this many rows are broadcast (265 zones in the reference).
+# Dimensions are broadcast only when both bounds hold (265 zones in the reference).
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+
+# Bytes per value of fixed-width types (variable-width ones are measured).
+_FIXED_BYTES = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8,
+                "date": 4, "timestamp": 8, "timestamp_ntz": 8}
 
 
 @dataclass(frozen=True)
 class DimensionStats:
     rows: int
     distinct_keys: int
+    bytes: int = 0
 
     @property
     def unique(self) -> bool:
         return self.rows == self.distinct_keys
 
 
+def _value_bytes(name: str, dtype: str):
+    if dtype in _FIXED_BYTES:
+        return F.lit(_FIXED_BYTES[dtype])
+    if dtype in ("string", "binary"):
+        return F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+    return F.coalesce(F.octet_length(F.to_json(F.struct(F.col(name)))), F.lit(0))  # nested: JSON size
+
+
 def dimension_stats(dim: DataFrame, key: str) -> DimensionStats:
-    """One aggregate job over the dimension; returns two numbers to the driver."""
-    row = dim.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("k")).first()
-    return DimensionStats(int(row["n"]), int(row["k"]))
+    """One aggregate job over the dimension: rows, distinct keys and data bytes (measured, not estimated)."""
+    size = sum((_value_bytes(n, t) for n, t in dim.dtypes), F.lit(0))
+    row = dim.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("k"),
+                  F.sum(size.cast("long")).alias("b")).first()
+    return DimensionStats(int(row["n"]), int(row["k"]), int(row["b"] or 0))
 
 
 def checked_broadcast(dim: DataFrame, key: str, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      require_unique: bool = True, stats: DimensionStats | None = None) -> tuple[DataFrame, bool]:
-    """Return ``(dim_or_hinted_dim, broadcasted)`` after checking its size."""
+                      require_unique: bool = True, stats: DimensionStats | None = None,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Return ``(dim_or_hinted_dim, broadcasted)`` after checking its size in rows and bytes."""
     stats = dimension_stats(dim, key) if stats is None else stats
     if require_unique and not stats.unique:
         raise ValueError(f"dimension key {key!r} is not unique ({stats.rows} rows, {stats.distinct_keys} keys)")
-    if stats.rows <= max_rows:
+    if stats.rows <= max_rows and stats.bytes <= max_bytes:
         return F.broadcast(dim), True
     return dim, False
 

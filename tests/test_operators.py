@@ -299,3 +299,19 @@ def test_prefix_filter_pushed(spark, tmp_path):
     assert [r["z"] for r in df.collect()] == ["NATION_21"]
     mode = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     assert "StringStartsWith(z,NATION_2)" in df._jdf.queryExecution().explainString(mode)
+
+
+def test_checked_broadcast_bounds(spark):
+    from farebox.operators import enrich as J
+    dim = spark.createDataFrame([(1, "abc"), (2, None), (3, "de")], "k int, v string")
+    st = J.dimension_stats(dim, "k")
+    assert (st.rows, st.distinct_keys, st.bytes) == (3, 3, 3 * 4 + 3 + 0 + 2)
+    _, b = J.checked_broadcast(dim, "k")
+    assert b
+    _, b = J.checked_broadcast(dim, "k", max_bytes=10)
+    assert not b
+    _, b = J.checked_broadcast(dim, "k", max_rows=2)
+    assert not b
+    fact = spark.range(100).select((F.col("id") % 3 + 1).cast("int").alias("k"))
+    joined = fact.join(J.checked_broadcast(dim, "k", max_rows=2)[0], "k", "left")
+    assert joined.count() == 100
