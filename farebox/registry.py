@@ -398,10 +398,6 @@ def q_a6(spark, d):
     return _round_doubles(A.auc(scored_test(spark, d), "high_tip"))
 
 
-_PROFILE_COLS = ["trip_key", "passenger_count", "trip_distance", "payment_type", "fare_amount", "tip_amount",
-                 "Airport_fee", "tpep_dropoff_datetime"]
-
-
 @register("a7_profile", with_ctes(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count({c}) AS non_null, CAST(count(*) - count({c}) AS BIGINT) AS nulls, "
     f"count(DISTINCT {c}) AS distinct_values FROM trips" for c in X.RAW_TRIP_COLUMNS), "trips"))
@@ -566,24 +562,25 @@ def q_s8(spark, d):
 
 
 @register("k2_m21_visual_flow", with_ctes(
-    "SELECT DISTINCT * EXCLUDE (store_and_fwd_flag, mta_tax, improvement_surcharge) FROM trips_dup", "trips_dup"))
+    "SELECT * EXCLUDE (store_and_fwd_flag, mta_tax, improvement_surcharge) FROM (SELECT DISTINCT * FROM trips_dup)",
+    "trips_dup"))
 def q_m21(spark, d):
     path = WR.write_parquet(M.visual_flow(X.trips_dup(spark, d)), scratch_path(spark, "visual_flow"))
     return RD.read_parquet(spark, path)
 
 
 @register("s11_catalog_sql", with_ctes("""
-    SELECT e.dropoff_borough, z.Zone AS any_zone_count, count(*) AS trips
-    FROM enriched e LEFT JOIN (SELECT Borough, CAST(count(*) AS VARCHAR) AS Zone FROM zones GROUP BY Borough) z
+    SELECT e.dropoff_borough, z.zones_in_borough, count(*) AS trips
+    FROM enriched e LEFT JOIN (SELECT Borough, count(*) AS zones_in_borough FROM zones GROUP BY Borough) z
       ON e.dropoff_borough = z.Borough
-    GROUP BY e.dropoff_borough, z.Zone""", "enriched", "zones"))
+    GROUP BY e.dropoff_borough, z.zones_in_borough""", "enriched", "zones"))
 def q_s11(spark, d):
     RD.register_tables(spark, {"fb_enriched": enriched(spark, d), "fb_zones": zones(spark, d)})
     return spark.sql("""
-        SELECT e.dropoff_borough, z.Zone AS any_zone_count, count(*) AS trips
-        FROM fb_enriched e LEFT JOIN (SELECT Borough, CAST(count(*) AS STRING) AS Zone FROM fb_zones GROUP BY Borough) z
+        SELECT e.dropoff_borough, z.zones_in_borough, count(*) AS trips
+        FROM fb_enriched e LEFT JOIN (SELECT Borough, count(*) AS zones_in_borough FROM fb_zones GROUP BY Borough) z
           ON e.dropoff_borough = z.Borough
-        GROUP BY e.dropoff_borough, z.Zone""")
+        GROUP BY e.dropoff_borough, z.zones_in_borough""")
 
 
 @register("s12_first_rows_of_split", with_ctes(
