@@ -130,6 +130,53 @@ def first_line(spark: SparkSession, file: str) -> str | None:
         stream.close()
 
 
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total bytes under the given paths from filesystem metadata (no data is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hpath.getFileSystem(conf)
+        if fs.exists(hpath):
+            total += int(fs.getContentSummary(hpath).getLength())
+    return total
+
+
+MB = 1024 * 1024
+
+
+def scale_settings(total_input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Session settings sized from the input volume (e.g. 100 TB on 1,000 executors).
+
+    * scan splits of 256 MB (Parquet row groups are read whole; fewer, larger tasks);
+    * initial shuffle partitions so each holds ~200 MB of input before AQE
+      coalesces toward 128 MB (at least 3 waves of tasks over the cores):
+      100 TB -> ~524k partitions; AQE merges small ones at run time;
+    * skew split above 512 MB, or 5x the median partition;
+    * coalescing respects the advisory size instead of maximising parallelism.
+    """
+    shuffle = max(3 * total_cores, -(-total_input_bytes // (200 * MB)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * MB),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
+def configure_for_scale(spark: SparkSession, paths: list[str], total_cores: int | None = None) -> dict[str, str]:
+    """Measure the inputs and apply :func:`scale_settings` to the session; returns what was set."""
+    cores = total_cores or spark.sparkContext.defaultParallelism
+    settings = scale_settings(input_bytes(spark, paths), cores)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return settings
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

@@ -315,3 +315,28 @@ def test_checked_broadcast_bounds(spark):
     fact = spark.range(100).select((F.col("id") % 3 + 1).cast("int").alias("k"))
     joined = fact.join(J.checked_broadcast(dim, "k", max_rows=2)[0], "k", "left")
     assert joined.count() == 100
+
+
+def test_scale_settings():
+    from farebox.session import MB, scale_settings
+    big = scale_settings(100 * 1024 ** 4, 8000)  # 100 TB on 1,000 executors x 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (200 * MB)
+    small = scale_settings(10 * MB, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_configure_for_scale_measures_files(spark):
+    from farebox.session import configure_for_scale, input_bytes, scale_settings
+    keys = list(scale_settings(1, 1))
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        n = input_bytes(spark, ["/root/testdata/sf0.001/lineitem.parquet"])
+        assert n > 0
+        configure_for_scale(spark, ["/root/testdata/sf0.001/lineitem.parquet"], total_cores=8)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "24"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
