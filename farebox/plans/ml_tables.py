@@ -10,7 +10,11 @@ They differ on purpose -- kept apart and named (SURVEY §2.12):
   cases **before** sampling and keeps 7 fixed features.
 
 Row positions are replaced by a hash of ``trip_key``: sampling picks the
-smallest hashes, the split is a hash bucket.  Both are deterministic.
+smallest hashes, the split is a hash bucket.  Both are deterministic.  The
+sample (at most ``sample_rows`` rows) is written once to the shared folder,
+so everything downstream -- category discovery, splits, every training pass
+-- reads that small table instead of re-running the pipeline from the raw
+scan.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from pyspark.sql import functions as F
 
 from farebox.functions import columns as C
 from farebox.operators import cleaning as CL
-from farebox.operators.aggregate import drop_duplicates
+from farebox.operators.aggregate import drop_duplicates, materialize
 from farebox.operators.encode import one_hot
 from farebox.operators.sampling import take_by_hash, with_split
 
@@ -46,7 +50,10 @@ def one_hot_dataset(enriched: DataFrame, sample_rows: int = SAMPLE_ROWS, categor
     cols = NUMERIC + CATEGORICAL + BOOL + ["payment_label", "tip_pct", key]
     df = CL.card_payments(enriched.select(*cols), by="label")
     df = df.withColumn(LABEL, C.high_tip_01()).drop("payment_label", "tip_pct")
-    df = take_by_hash(df, sample_rows, [key], SAMPLE_SEED)
+    # the sample holds at most ``sample_rows`` rows: write it once so category
+    # discovery and the final projection read it instead of re-running the
+    # whole pipeline from the raw scan
+    df = materialize(take_by_hash(df, sample_rows, [key], SAMPLE_SEED), "dataset_a_sample")
     df = CL.booleans_to_int(df)
     df = one_hot(df, CATEGORICAL, categories)
     df = CL.complete_cases(df)
@@ -55,8 +62,8 @@ def one_hot_dataset(enriched: DataFrame, sample_rows: int = SAMPLE_ROWS, categor
     return df.select(key, "split", *[c for c in df.columns if c not in (key, "split")])
 
 
-def fixed_feature_dataset(trips: DataFrame, sample_rows: int = SAMPLE_ROWS, key: str = KEY) -> DataFrame:
-    """F1(2) -> P3b -> F2,F3,F4(fare) -> P4 -> F5 -> P5(hour) -> P9b -> F6(code) -> P7b -> P10b -> F7 -> L5 -> M2."""
+def fixed_feature_rows(trips: DataFrame, key: str = KEY) -> DataFrame:
+    """M3b before sampling: F1(2) -> P3b -> F2,F3,F4(fare) -> P4 -> F5 -> P5(hour) -> P9b -> F6(code) -> P7b -> P10b -> F7."""
     df = CL.drop_missing(trips, ["tpep_pickup_datetime", "tpep_dropoff_datetime"])
     df = CL.with_duration(df, exact=True, start="tpep_pickup_datetime", end="tpep_dropoff_datetime")
     df = CL.duration_range(df)
@@ -71,8 +78,13 @@ def fixed_feature_dataset(trips: DataFrame, sample_rows: int = SAMPLE_ROWS, key:
     df = CL.card_payments(df, by="code")
     df = df.withColumn("tip_pct", C.tip_pct(rounded=False))
     df = df.withColumn(LABEL, C.high_tip_01())
-    df = CL.complete_cases(df.select(key, LABEL, *FIXED_FEATURES))
-    df = take_by_hash(df, sample_rows, [key], SAMPLE_SEED)
+    return CL.complete_cases(df.select(key, LABEL, *FIXED_FEATURES))
+
+
+def fixed_feature_dataset(trips: DataFrame, sample_rows: int = SAMPLE_ROWS, key: str = KEY) -> DataFrame:
+    """:func:`fixed_feature_rows` -> L5 (complete cases **before** the sample) -> M2."""
+    df = fixed_feature_rows(trips, key)
+    df = materialize(take_by_hash(df, sample_rows, [key], SAMPLE_SEED), "dataset_b_sample")
     df = with_split(df, key)
     return df.select(key, "split", LABEL, *FIXED_FEATURES)
 

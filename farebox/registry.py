@@ -433,8 +433,7 @@ def q_l2(spark, d):
 
 @register("l5_exact_sample", with_ctes(f"SELECT * FROM ds_b_cc {sample_qualify(1000)}", "ds_b_cc"))
 def q_l5(spark, d):
-    full = M.fixed_feature_dataset(trips(spark, d), sample_rows=10 ** 12).drop("split")
-    return S.take_by_hash(full, 1000, ["trip_key"], seed=42)
+    return S.take_by_hash(M.fixed_feature_rows(trips(spark, d)), 1000, ["trip_key"], seed=42)
 
 
 @register("l6_bernoulli_sample")
