@@ -97,8 +97,12 @@ def scored_test(spark, d):
     return MF.with_fixed_score(M.split_of(dataset_b(spark, d), "test"))
 
 
-def _round_doubles(df: DataFrame, digits: int = METRIC_DIGITS) -> DataFrame:
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+def _round_doubles(df: DataFrame, digits: int = METRIC_DIGITS, unsigned_zero: bool = False) -> DataFrame:
+    """Round double columns; ``unsigned_zero`` adds 0.0 so -0.0 becomes 0.0 (IEEE), as the SQL twin does."""
+    def r(c):
+        x = F.round(F.col(c), digits)
+        return x + F.lit(0.0) if unsigned_zero else x
+    return df.select(*[r(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType)
                        else F.col(f.name) for f in df.schema.fields])
 
 
@@ -781,12 +785,18 @@ def q_m18(spark, d):
     return R.baseline_rows(long.where(F.col("value").isNotNull()), "DataBiasCheck")
 
 
-def _shap_sql(src: str, baseline: list[float]) -> str:
+def _shap_sql(src: str, baseline: list[float] | None, per_row: bool = False, digits: int = METRIC_DIGITS) -> str:
+    """Exact Shapley values of the fixed scorer in DuckDB: every row against every coalition.
+
+    ``baseline=None`` uses the feature means of ``src`` (scalar subqueries).
+    """
     p = len(B_FEATURES)
-    mixed = [f"CASE WHEN (m >> {i}) & 1 = 1 THEN CAST({c} AS DOUBLE) ELSE CAST({baseline[i]!r} AS DOUBLE) END AS {c}"
+    base = [f"CAST({baseline[i]!r} AS DOUBLE)" if baseline is not None else f"(SELECT avg(CAST({c} AS DOUBLE)) FROM {src})"
+            for i, c in enumerate(B_FEATURES)]
+    mixed = [f"CASE WHEN (m >> {i}) & 1 = 1 THEN CAST({c} AS DOUBLE) ELSE {base[i]} END AS {c}"
              for i, c in enumerate(B_FEATURES)]
     coef = [f"CASE WHEN (m >> {i}) & 1 = 1 THEN w_in ELSE -w_out END AS c{i}" for i in range(p)]
-    return f"""
+    head = f"""
     WITH co AS (
       SELECT m, CAST(factorial(CAST(greatest(k - 1, 0) AS INTEGER)) * factorial(CAST({p} - k AS INTEGER)) AS DOUBLE)
                 / CAST(factorial({p}) AS DOUBLE) AS w_in,
@@ -796,8 +806,12 @@ def _shap_sql(src: str, baseline: list[float]) -> str:
     ex AS (SELECT r.trip_key, co.m, {', '.join(mixed)}, {', '.join(coef)}
            FROM {src} r, co),
     sc AS (SELECT *, {fixed_score_sql()} AS f FROM ex),
-    phi AS (SELECT trip_key, {', '.join(f'sum(c{i} * f) AS phi{i}' for i in range(p))} FROM sc GROUP BY trip_key)
-    SELECT feature, round(mean_abs, {METRIC_DIGITS}) AS mean_abs FROM (
+    phi AS (SELECT trip_key, {', '.join(f'sum(c{i} * f) AS phi{i}' for i in range(p))} FROM sc GROUP BY trip_key)"""
+    if per_row:
+        cols = ", ".join(f"round(phi{i}, {digits}) + 0.0 AS phi_{c}" for i, c in enumerate(B_FEATURES))
+        return f"{head}\n    SELECT trip_key, {cols} FROM phi"
+    return f"""{head}
+    SELECT feature, round(mean_abs, {digits}) AS mean_abs FROM (
       {' UNION ALL '.join(f"SELECT '{c}' AS feature, avg(abs(phi{i})) AS mean_abs FROM phi"
                           for i, c in enumerate(B_FEATURES))})"""
 
@@ -809,6 +823,25 @@ def q_m17(spark, d):
     return _round_doubles(EX.mean_abs(phis, M.FIXED_FEATURES))
 
 
+PER_ROW_DIGITS = 9
+
+
+@register("m17c_shap_per_row", with_ctes(
+    _shap_sql("ds_b_test", MF.SHAP_BASELINE, per_row=True, digits=PER_ROW_DIGITS), "ds_b_test"))
+def q_m17c(spark, d):
+    test = M.split_of(dataset_b(spark, d), "test")
+    phis = MF.explain_fixed(test).select("trip_key", *[f"phi_{c}" for c in M.FIXED_FEATURES])
+    return _round_doubles(phis, PER_ROW_DIGITS, unsigned_zero=True)
+
+
+@register("m17d_shap_mean_abs_mean_baseline", with_ctes(_shap_sql("ds_b_test", None), "ds_b_test"))
+def q_m17d(spark, d):
+    """No baseline given (the reference's stand-alone explainability run): baseline = feature means."""
+    test = M.split_of(dataset_b(spark, d), "test")
+    phis = MF.explain_fixed(test, baseline=None)
+    return _round_doubles(EX.mean_abs(phis, M.FIXED_FEATURES))
+
+
 # ------------------------------------------------------------------ streaming
 
 @register("st1_stream_canonical_available_now", with_ctes("SELECT * FROM enriched", "enriched"))
