@@ -41,8 +41,16 @@ def gbt_parts(model) -> tuple[GBTClassificationModel, list[str] | None]:
     return model, None
 
 
+# Compiled expressions grow with the node count; beyond this use
+# ``explain.model_attributions`` / ``model.transform`` instead.
+MAX_COMPILED_NODES = 50_000
+
+
 def gbt_margin(model: GBTClassificationModel, xs: list[Column]) -> Column:
     """``sum_i w_i * tree_i(x)``."""
+    nodes = sum(int(t.numNodes) for t in model.trees)
+    if nodes > MAX_COMPILED_NODES:
+        raise ValueError(f"ensemble has {nodes} nodes (> {MAX_COMPILED_NODES}); score it with model.transform")
     margin = F.lit(0.0)
     for tree, w in zip(model.trees, model.treeWeights):
         margin = margin + F.lit(float(w)) * _node_expr(tree._java_obj.rootNode(), xs)
