@@ -56,6 +56,24 @@ def build_pipeline(trips: DataFrame, zones: DataFrame, keep: list[str] | None =
     return df.select(*ENRICHED_COLUMNS, *extra)
 
 
+ZONES_CSV_SCHEMA = "LocationID INT, Borough STRING, Zone STRING, service_zone STRING"
+
+
+def build_pipeline_from_paths(spark, trips_path: str, zones_path: str, infer_zones_schema: bool = False,
+                              recursive: bool = True) -> DataFrame:
+    """The reference's entry shape: raw trips Parquet + zone lookup CSV (with header) -> T1-T15.
+
+    The zone CSV is read with an explicit schema unless ``infer_zones_schema``
+    (inference costs an extra pass); ``N/A`` stays a value.
+    """
+    from farebox.sources.readers import read_csv, read_parquet
+
+    trips = read_parquet(spark, trips_path, recursive=recursive)
+    zones = read_csv(spark, zones_path, header=True, infer=infer_zones_schema,
+                     schema=None if infer_zones_schema else ZONES_CSV_SCHEMA)
+    return build_pipeline(trips, zones)
+
+
 def add_ml_label(df: DataFrame) -> DataFrame:
     """``high_tip`` = (tip_pct > 20) as int, NULL kept."""
     return df.withColumn("high_tip", C.high_tip())

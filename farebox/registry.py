@@ -905,6 +905,27 @@ def q_f8b(spark, d):
                             prefix=True)
 
 
+def _job_scored_test(spark, d):
+    model, _, _, test = _job_model(spark, d)
+    return L.score(model, test)
+
+
+@register("m10b_gbt_evaluation_report")
+def q_m10b(spark, d):
+    return MF.evaluate(_job_scored_test(spark, d))
+
+
+@register("m14b_gbt_quality_gate")
+def q_m14b(spark, d):
+    """Model-version row when the fitted model's test AUC clears 0.55; empty otherwise."""
+    return MF.gate(MF.evaluate(_job_scored_test(spark, d)), "taxi-models")
+
+
+@register("m16b_gbt_post_training_bias")
+def q_m16b(spark, d):
+    return MF.model_bias(_job_scored_test(spark, d))
+
+
 @register("m17b_gbt_shap_mean_abs")
 def q_m17b(spark, d):
     model, _, _, test = _job_model(spark, d)

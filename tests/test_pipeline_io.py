@@ -94,3 +94,30 @@ def test_compiled_trees_match_model_and_both_shap_paths_agree(spark):
     worst = j.select(F.greatest(*[F.abs(F.col(f"phi_{c}") - F.col(f"m_{c}")) for c in feats]).alias("d")) \
         .agg(F.max("d")).first()[0]
     assert j.count() == 20 and worst < 1e-12
+
+
+def test_path_entry_and_etl_job(spark):
+    import json
+
+    from farebox.plans import etl_job
+    trips_dir = scratch_path(spark, "t_raw")
+    X.trips(spark, SF001).write.parquet(trips_dir + "/2024/01")
+    zones_csv = scratch_path(spark, "t_zones")
+    X.zones(spark, SF001).withColumn("service_zone", F.lit("Zone")).write.option("header", True).csv(zones_csv)
+    df = P.build_pipeline_from_paths(spark, trips_dir, zones_csv)
+    assert df.count() == 4315 and df.columns == P.ENRICHED_COLUMNS
+    out = scratch_path(spark, "t_etl_out")
+    assert etl_job.main([trips_dir, zones_csv, out]) == 0
+    assert spark.read.parquet(out).count() == 4315
+    for k in ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst",
+              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+              "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled"]:
+        spark.conf.unset(k)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    # metric report shape of the evaluation step
+    scored = spark.createDataFrame([(1, 0.9), (0, 0.2), (1, 0.4), (0, 0.6)], "y int, score double")
+    rep = json.loads(L.evaluation_report(scored, "y").first()["report"])
+    m = rep["binary_classification_metrics"]
+    assert m["accuracy"] == {"value": 0.5, "standard_deviation": "NaN"}
+    assert m["auc"]["value"] == 0.75 and m["auc"]["standard_deviation"] == "NaN"
