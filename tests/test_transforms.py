@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from farebox.functions import columns as C
 from farebox.functions.names import is_valid_feature_name, sanitize_name, sanitize_names
