@@ -73,7 +73,8 @@ def trips_path(spark: SparkSession, sf_dir: str) -> str:
                       lambda li: li.selectExpr(*TRIPS_SPARK_EXPRS))
 
 
-def stage_path(spark: SparkSession, sf_dir: str, name: str, source, project=lambda df: df) -> str:
+def stage_path(spark: SparkSession, sf_dir: str, name: str, source, project=lambda df: df,
+               resplit: bool = True) -> str:
     """Path of ``project(source())`` staged as Parquet, writing it first when this session has not yet.
 
     A source with fewer splits than the cluster's parallelism is re-split
@@ -90,7 +91,7 @@ def stage_path(spark: SparkSession, sf_dir: str, name: str, source, project=lamb
     if not path_exists(spark, final):
         df = source()
         parallelism = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < parallelism:
+        if resplit and df.rdd.getNumPartitions() < parallelism:
             df = df.repartition(parallelism)
         df = project(df)
         tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
@@ -101,6 +102,12 @@ def stage_path(spark: SparkSession, sf_dir: str, name: str, source, project=lamb
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``zones`` dimension, staged once per session like the reference's zone lookup file."""
+    return spark.read.parquet(stage_path(spark, sf_dir, "zones", lambda: zones_view(spark, sf_dir),
+                                         resplit=False))
+
+
+def zones_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``zones`` dimension: 25 nations + one ``N/A`` borough (id 25)."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
@@ -115,7 +122,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("N/A").alias("Borough"),
         F.lit("Outside").alias("Zone"),
     )
-    return dim.unionByName(extra)
+    return dim.unionByName(extra).coalesce(1)
 
 
 def trips_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

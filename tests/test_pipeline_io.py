@@ -36,6 +36,7 @@ def test_feature_column_order_file(spark):
 def test_staged_trips_equal_view(spark):
     from farebox.operators.compare import frames_equal
     assert frames_equal(X.trips(spark, SF001), X.trips_view(spark, SF001))
+    assert frames_equal(X.zones(spark, SF001), X.zones_view(spark, SF001))
 
 
 def test_gbt_train_score_and_model_shap(spark):
