@@ -793,9 +793,9 @@ def _shap_sql(src: str, baseline: list[float] | None, per_row: bool = False, dig
     p = len(B_FEATURES)
     base = [f"CAST({baseline[i]!r} AS DOUBLE)" if baseline is not None else f"(SELECT avg(CAST({c} AS DOUBLE)) FROM {src})"
             for i, c in enumerate(B_FEATURES)]
-    mixed = [f"CASE WHEN (m >> {i}) & 1 = 1 THEN CAST({c} AS DOUBLE) ELSE {base[i]} END AS {c}"
+    mixed = [f"CASE WHEN (g.m >> {i}) & 1 = 1 THEN CAST(g.{c} AS DOUBLE) ELSE {base[i]} END AS {c}"
              for i, c in enumerate(B_FEATURES)]
-    coef = [f"CASE WHEN (m >> {i}) & 1 = 1 THEN w_in ELSE -w_out END AS c{i}" for i in range(p)]
+    coef = [f"CASE WHEN (g.m >> {i}) & 1 = 1 THEN w_in ELSE -w_out END AS c{i}" for i in range(p)]
     head = f"""
     WITH co AS (
       SELECT m, CAST(factorial(CAST(greatest(k - 1, 0) AS INTEGER)) * factorial(CAST({p} - k AS INTEGER)) AS DOUBLE)
@@ -803,8 +803,9 @@ def _shap_sql(src: str, baseline: list[float] | None, per_row: bool = False, dig
              CAST(factorial(CAST(k AS INTEGER)) * factorial(CAST(greatest({p} - k - 1, 0) AS INTEGER)) AS DOUBLE)
                 / CAST(factorial({p}) AS DOUBLE) AS w_out
       FROM (SELECT range AS m, bit_count(range) AS k FROM range(0, {2 ** p}))),
-    ex AS (SELECT r.trip_key, co.m, {', '.join(mixed)}, {', '.join(coef)}
-           FROM {src} r, co),
+    gen AS (SELECT *, unnest(range(0, {2 ** p})) AS m FROM {src}),
+    ex AS (SELECT g.trip_key, g.m, {', '.join(mixed)}, {', '.join(coef)}
+           FROM gen g JOIN co ON g.m = co.m),
     sc AS (SELECT *, {fixed_score_sql()} AS f FROM ex),
     phi AS (SELECT trip_key, {', '.join(f'sum(c{i} * f) AS phi{i}' for i in range(p))} FROM sc GROUP BY trip_key)"""
     if per_row:
