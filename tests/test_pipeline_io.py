@@ -122,3 +122,27 @@ def test_path_entry_and_etl_job(spark):
     m = rep["binary_classification_metrics"]
     assert m["accuracy"] == {"value": 0.5, "standard_deviation": "NaN"}
     assert m["auc"]["value"] == 0.75 and m["auc"]["standard_deviation"] == "NaN"
+
+
+def test_stream_is_incremental_and_restartable(spark):
+    from farebox.streaming.canonical_stream import run_available_now
+    src = scratch_path(spark, "t_stream_src")
+    t = X.trips(spark, SF001)
+    t.where(F.col("VendorID") == 1).write.parquet(src)
+    zones, out, ckpt = X.zones(spark, SF001), scratch_path(spark, "t_stream_out"), scratch_path(spark, "t_stream_ck")
+    first = run_available_now(spark, src, t.schema, zones, out, ckpt).count()
+    again = run_available_now(spark, src, t.schema, zones, out, ckpt).count()  # restart: nothing new
+    assert again == first
+    t.where(F.col("VendorID") == 2).write.mode("append").parquet(src)  # new files land
+    total = run_available_now(spark, src, t.schema, zones, out, ckpt).count()
+    assert total == P.build_pipeline(t, zones).count() == 4315 and total > first
+
+
+def test_dynamic_partition_overwrite_keeps_other_partitions(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
+    path = scratch_path(spark, "t_dyn")
+    WR.write_partitioned(df, path, "p")
+    WR.write_partitioned(spark.createDataFrame([(3, "b")], "v int, p string"), path, "p", dynamic=True)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (3, "b")]
+    WR.write_partitioned(spark.createDataFrame([(4, "c")], "v int, p string"), path, "p")
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(4, "c")]
