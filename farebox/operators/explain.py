@@ -17,7 +17,11 @@ coalition scores of a row are one ``transform`` over a literal array of masks
 and each attribution one ``aggregate`` -- per-row JVM expressions, no join and
 no shuffle.  For a fitted ``pyspark.ml`` model, :func:`model_attributions`
 explodes each row into its coalitions, scores them with ``model.transform`` and
-sums per row (one shuffle keyed by row id).
+sums per row id; all coalitions of a row are in one task, so the partial
+aggregate collapses them before the exchange (one shuffled row per input row).
+A fitted GBT can also be turned into a scorer expression
+(:mod:`farebox.functions.trees`).  ``row_cap`` keeps the reference's row cap
+available as an argument; by default every row is explained.
 """
 
 from __future__ import annotations
@@ -101,9 +105,22 @@ def column_means(df: DataFrame, features: list[str]) -> list[float]:
     return [float(row[c]) for c in features]
 
 
+def _capped(df: DataFrame, row_cap: int | None, key_cols: list[str] | None) -> DataFrame:
+    """Optional cost cap: the first ``row_cap`` rows by key hash (default: every row)."""
+    if row_cap is None:
+        return df
+    from farebox.operators.sampling import take_by_hash
+    return take_by_hash(df, row_cap, key_cols or list(df.columns), seed=0)
+
+
 def attributions(df: DataFrame, features: list[str], scorer: Scorer, baseline: list[float] | None = None,
-                 num_samples: int | None = None, keep: list[str] | None = None, seed: int = 42) -> DataFrame:
-    """Per-row ``phi_<feature>`` columns plus ``score`` and ``base_score`` (scored expression path)."""
+                 num_samples: int | None = None, keep: list[str] | None = None, seed: int = 42,
+                 row_cap: int | None = None) -> DataFrame:
+    """Per-row ``phi_<feature>`` columns plus ``score`` and ``base_score`` (scored expression path).
+
+    ``row_cap`` keeps the reference's cost cap (300 rows) available; by default every row is explained.
+    """
+    df = _capped(df, row_cap, keep)
     p = len(features)
     base = column_means(df, features) if baseline is None else [float(b) for b in baseline]
     masks, coef = coalition_plan(p, num_samples, seed=seed)
@@ -136,7 +153,8 @@ def mean_abs(phis: DataFrame, features: list[str]) -> DataFrame:
 
 def model_attributions(model, df: DataFrame, features: list[str], row_id: str,
                        baseline: list[float] | None = None, num_samples: int | None = None,
-                       probability_col: str = "probability", seed: int = 42) -> DataFrame:
+                       probability_col: str = "probability", seed: int = 42,
+                       row_cap: int | None = None) -> DataFrame:
     """Per-row attributions for a fitted ``pyspark.ml`` classifier pipeline.
 
     ``model`` must accept the raw feature columns (e.g. a ``PipelineModel`` with
@@ -146,6 +164,7 @@ def model_attributions(model, df: DataFrame, features: list[str], row_id: str,
     """
     from pyspark.ml.functions import vector_to_array
 
+    df = _capped(df, row_cap, [row_id])
     p = len(features)
     base = column_means(df, features) if baseline is None else [float(b) for b in baseline]
     masks, coef = coalition_plan(p, num_samples, seed=seed)

@@ -340,3 +340,12 @@ def test_configure_for_scale_measures_files(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_shap_row_cap(spark):
+    df = spark.range(50).select(F.col("id").cast("string").alias("k"), (F.col("id") / 10).alias("a"),
+                                (F.col("id") % 7).cast("double").alias("b"))
+    out = X.attributions(df, ["a", "b"], X.logistic_score(0.0, [1.0, -0.5]), baseline=[0.0, 0.0], keep=["k"],
+                         row_cap=12)
+    assert out.count() == 12
+    assert X.attributions(df, ["a", "b"], X.logistic_score(0.0, [1.0, -0.5]), keep=["k"]).count() == 50
