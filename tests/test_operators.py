@@ -349,3 +349,16 @@ def test_shap_row_cap(spark):
                          row_cap=12)
     assert out.count() == 12
     assert X.attributions(df, ["a", "b"], X.logistic_score(0.0, [1.0, -0.5]), keep=["k"]).count() == 50
+
+
+def test_frame_difference_multiplicity_and_nulls(spark):
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y"), (3, "y"), (3, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, None), (2, "x"), (3, "y"), (4, "z")], "k int, v string")
+    got = sorted((r["k"], r["v"], r["side"]) for r in U.frame_difference(a, b).collect())
+    want = sorted([(r["k"], r["v"], "left_only") for r in a.exceptAll(b).collect()] +
+                  [(r["k"], r["v"], "right_only") for r in b.exceptAll(a).collect()])
+    assert got == want == [(1, None, "left_only"), (3, "y", "left_only"), (3, "y", "left_only"),
+                           (4, "z", "right_only")]
+    text = a._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    plan = U.frame_difference(a, b)._jdf.queryExecution().explainString(text)
+    assert plan.count("Exchange hashpartitioning") == 1
