@@ -58,6 +58,12 @@ def run_log_rows(runs: DataFrame, prefix: str = "") -> DataFrame:
     )
 
 
+def append_rows(rows: DataFrame, path: str) -> DataFrame:
+    """Append rows to a run / model-version table (Parquet at ``path``) and return the whole table."""
+    rows.write.mode("append").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def compare_runs(run_log: DataFrame, metrics: list[str]) -> DataFrame:
     """M13 comparison view: one row per run, one column per metric (``pivot`` with a fixed value list)."""
     return (run_log.groupBy("run_name", "learning_rate", "max_depth", "n_estimators")

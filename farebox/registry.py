@@ -696,7 +696,7 @@ def q_m11(spark, d):
     "SELECT round(auc, 10) AS auc, round(accuracy, 10) AS accuracy, 'Approved' AS approval_status, "
     "'taxi-models' AS model_package_group FROM (" + _AUC_SQL + ") WHERE auc >= 0.55", "ds_b_test"))
 def q_m14(spark, d):
-    versions = MF.gate(_report(spark, d), "taxi-models")
+    versions = R.append_rows(MF.gate(_report(spark, d), "taxi-models"), scratch_path(spark, "model_versions"))
     return versions.select(F.round("auc", METRIC_DIGITS).alias("auc"),
                            F.round("accuracy", METRIC_DIGITS).alias("accuracy"),
                            "approval_status", "model_package_group")
@@ -918,8 +918,9 @@ def q_m10b(spark, d):
 
 @register("m14b_gbt_quality_gate")
 def q_m14b(spark, d):
-    """Model-version row when the fitted model's test AUC clears 0.55; empty otherwise."""
-    return MF.gate(MF.evaluate(_job_scored_test(spark, d)), "taxi-models")
+    """Model-version row when the fitted model's test AUC clears 0.55 (appended to the versions table)."""
+    versions = MF.gate(MF.evaluate(_job_scored_test(spark, d)), "taxi-models")
+    return R.append_rows(versions, scratch_path(spark, "model_versions"))
 
 
 @register("m16b_gbt_post_training_bias")
@@ -952,7 +953,8 @@ def q_m13(spark, d):
               t["validation_auc"]) for t in trials]
     runs = spark.createDataFrame(
         rows, "run_name string, learning_rate double, max_depth int, n_estimators int, metric_name string, value double")
-    return R.compare_runs(R.run_log_rows(runs, "taxi-"), ["validation_auc"])
+    table = R.append_rows(R.run_log_rows(runs, "taxi-"), scratch_path(spark, "runs"))
+    return R.compare_runs(table, ["validation_auc"])
 
 
 @register("m19_l3_candidate_leaderboard")
