@@ -61,7 +61,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     timestamp as an expression, and Catalyst inlines derived columns into the
     pushed-down filter, so scanning the view re-evaluates them several times
     per row.  Staging writes the view once per session into the shared
-    checkpoint folder (atomic rename, reused by later queries) and every query
+    checkpoint folder (complete once its ``_SUCCESS`` commit marker exists;
+    reused by later queries) and every query
     scans plain columns with pushed filters.  Content is identical to the view.
     """
     return spark.read.parquet(trips_path(spark, sf_dir))
@@ -82,22 +83,20 @@ def stage_path(spark: SparkSession, sf_dir: str, name: str, source, project=lamb
     sources keep their natural splits (no shuffle).
     """
     import hashlib
-    import uuid
 
-    from farebox.session import checkpoint_root, path_exists, rename_path
+    from farebox.session import checkpoint_root, path_exists
 
     key = hashlib.md5(f"{sf_dir.rstrip('/')}|{name}".encode()).hexdigest()[:16]
     final = f"{checkpoint_root(spark).rstrip('/')}/farebox/staged/{key}/{name}"
-    if not path_exists(spark, final):
+    # ``_SUCCESS`` is written at job commit, after every data file: a folder
+    # without it is an interrupted write and is overwritten.  (A directory
+    # rename is not atomic on object stores, so no rename is used.)
+    if not path_exists(spark, f"{final}/_SUCCESS"):
         df = source()
         parallelism = spark.sparkContext.defaultParallelism
         if resplit and df.rdd.getNumPartitions() < parallelism:
             df = df.repartition(parallelism)
-        df = project(df)
-        tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
-        df.write.mode("overwrite").parquet(tmp)
-        if not rename_path(spark, tmp, final) and not path_exists(spark, final):
-            raise RuntimeError(f"could not stage {name} at {final}")
+        project(df).write.mode("overwrite").parquet(final)
     return final
 
 

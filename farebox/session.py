@@ -93,15 +93,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
-    """Atomic directory rename on the Hadoop filesystem (publish a finished write)."""
-    jvm = spark.sparkContext._jvm
-    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    fs = s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(d.getParent())
-    return bool(fs.rename(s, d))
-
-
 def list_files(spark: SparkSession, path: str, suffix: str = "", non_empty: bool = False) -> list[str]:
     """Names of files directly under ``path`` (metadata only, no data)."""
     jvm = spark.sparkContext._jvm

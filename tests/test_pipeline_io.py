@@ -146,3 +146,24 @@ def test_dynamic_partition_overwrite_keeps_other_partitions(spark):
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (3, "b")]
     WR.write_partitioned(spark.createDataFrame([(4, "c")], "v int, p string"), path, "p")
     assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(4, "c")]
+
+
+def test_staging_redoes_an_interrupted_write(spark):
+    import hashlib
+
+    from farebox.session import checkpoint_root, path_exists
+    name, sf = "t_interrupted", "/tmp/no-such-sf"
+    key = hashlib.md5(f"{sf}|{name}".encode()).hexdigest()[:16]
+    final = f"{checkpoint_root(spark).rstrip('/')}/farebox/staged/{key}/{name}"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        spark.range(3).write.mode("overwrite").parquet(final)  # data without a commit marker
+    finally:
+        conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    assert not path_exists(spark, final + "/_SUCCESS")
+    path = X.stage_path(spark, sf, name, lambda: spark.range(7), resplit=False)
+    assert path == final and path_exists(spark, final + "/_SUCCESS")
+    assert spark.read.parquet(path).count() == 7
+    assert X.stage_path(spark, sf, name, lambda: spark.range(100), resplit=False) == final  # reused
+    assert spark.read.parquet(final).count() == 7
