@@ -5,30 +5,87 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.llm import bpe, secrets, simhash, toxicity
+from farebox.llm import bpe, fertility, lengths, mixing, mtree, secrets, simhash, toxicity, urls, warc
 from farebox.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op2_fertility_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.quality(table(spark, sf_dir, "documents"), tokenizers.path(PIECES), tokenizers.path(RANKS),
+                             tokenizers.PATTERN)
+
+
+def op3_target_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op5_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.token_lengths(table(spark, sf_dir, "documents"), tokenizers.path(RANKS), tokenizers.PATTERN)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), tokenizers.path(RANKS), tokenizers.PATTERN, with_ids=False)
 
 
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (warc.round_trip(table(spark, sf_dir, "pages"))
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (simhash.near_duplicates(table(spark, sf_dir, "documents"))
             .select("doc_id", "fingerprint", "component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op6_byte_bpe, op8_toxicity, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_fertility_quality, op3_target_mix, op4_mtree_top_k, op5_token_lengths, op6_byte_bpe, op7_warc_round_trip,
+    op8_toxicity, op9_url_verdicts, op10_simhash_near_dedup)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_mtree_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op9_url_verdicts": """
+        WITH RECURSIVE u AS (
+            SELECT page_id, url, html, coalesce(regexp_extract(url, '(?s)^.*?://(.*)$', 1), '') AS after FROM pages),
+        p AS (
+            SELECT page_id, html,
+                   translate(regexp_extract(after, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(substr(after, length(regexp_extract(after, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
+        rules(verdict, h, start) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+            ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+        fits AS (
+            SELECT page_id, max_by(h || start, length(h || start)) AS rule, max_by(verdict, length(h || start)) AS verdict
+            FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, start) GROUP BY page_id)
+        SELECT p.page_id, host, path, rule,
+               -- without canonical or refresh links a page has no aliases; the twin stops where there are any
+               coalesce(fits.verdict, CASE WHEN regexp_matches(html, '(?i)<(link|meta)[^>]*(canonical|refresh)')
+                                           THEN error('aliases are not covered by this twin') ELSE 'allow' END) AS verdict
+        FROM p LEFT JOIN fits USING (page_id)""",
+}
