@@ -26,7 +26,7 @@ from farebox.llm.common import map_columns, materialize
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
-MEMO_WORDS = 300_000
+MEMO_WORDS = 500_000
 MIN_GROUP = 50              # smaller (group, length class) cells use the group's band, smaller groups the common one
 # Measure -> (lowest, highest, least spread): band in spreads around the median.
 BANDS = {"chars_per_token": (-1.2, 4.0, 0.05), "chars_per_token_2": (-1.6, 5.0, 0.05),
@@ -53,48 +53,61 @@ class Fertility:
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.second = tiktoken.Encoding("second", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.memo: dict[bytes, tuple[list[int], int]] = {}
+        self.memo: dict[bytes, tuple[bytes, int]] = {}  # word -> piece ids (16 bits each), length in the second vocabulary
 
-    def base(self, text: str) -> tuple[dict[str, int], list[bytes], np.ndarray, list[bytes]]:
+    @staticmethod
+    def base(text: str) -> tuple[dict[str, float], np.ndarray, list[bytes]]:
+        """Base counts, the number of each word's first equal, and the distinct words in that order."""
         w = text.encode().split()
-        number: dict[bytes, int] = {}
-        codes = np.fromiter((number.setdefault(x, len(number)) for x in w), dtype=np.int64, count=len(w))
+        distinct = list(dict.fromkeys(w))
+        number = dict(zip(distinct, range(len(distinct))))
+        codes = np.fromiter(map(number.__getitem__, w), dtype=np.int64, count=len(w))
         repeated = 0
         if len(w) > 2:
             # windows as numbers: pairs first, so that the products stay small for any vocabulary
             _, pair = np.unique(codes[:-1] * len(number) + codes[1:], return_inverse=True)
             _, window, count = np.unique(pair[:-1] * len(number) + codes[2:], return_inverse=True, return_counts=True)
             twice = count[window] > 1
-            inside = np.zeros(len(w), dtype=bool)
-            for k in range(3):
-                inside[k:len(w) - 2 + k] |= twice
-            repeated = int(inside.sum())
+            if twice.any():
+                inside = np.zeros(len(w), dtype=bool)
+                for k in range(3):
+                    inside[k:len(w) - 2 + k] |= twice
+                repeated = int(inside.sum())
         lines = [x for x in text.split("\n") if x.strip(_SPACE)]
         return ({"n_words": len(w), "word_chars": len(text) - sum(map(text.count, _SPACE)),
                  "n_symbols": sum(map(text.count, SYMBOLS)), "n_dup_lines": len(lines) - len(set(lines)),
-                 "n_repeat_words": repeated}, w, codes, list(number))
+                 "n_repeat_words": repeated}, codes, distinct)
 
-    def measure(self, text: str | None) -> dict[str, float]:
+    def _learn(self, new: list[bytes]) -> None:
+        """Tokenise words with both vocabularies."""
+        plain = [x.decode() for x in new]
+        encode = self.second.encode_ordinary
+        for x, word, ids in zip(new, plain, self.pieces.encode(plain, num_threads=1)):
+            self.memo[x] = (np.array(ids, dtype=np.uint16).tobytes(), len(encode(" " + word)))
+
+    def measure(self, texts: list[str | None]) -> list[dict[str, float]]:
+        """Counts and measures of each text of a batch."""
         if self.pieces is None:
             self._load()
-        out, _, codes, distinct = self.base(text or "")
+        parts = [self.base(t or "") for t in texts]
+        if len(self.memo) > MEMO_WORDS:
+            self.memo.clear()
+        new = list(set(chain.from_iterable(d for _, _, d in parts)).difference(self.memo))
+        for at in range(0, len(new), 65536):
+            self._learn(new[at:at + 65536])
+        return [self._fertility(*part) for part in parts]
+
+    def _fertility(self, out: dict[str, float], codes: np.ndarray, distinct: list[bytes]) -> dict[str, float]:
         out |= {"chars_per_token": 0.0, "chars_per_token_2": 0.0, "byte_share": 0.0, "token_entropy": 0.0, "n_pieces": 0}
         if not distinct:
             return out
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        new = [x for x in distinct if x not in self.memo]
-        if new:
-            plain = [x.decode() for x in new]
-            for x, word, ids in zip(new, plain, self.pieces.encode(plain)):
-                self.memo[x] = (ids, len(self.second.encode_ordinary(" " + word)))
-        found = [self.memo[x] for x in distinct]
+        ids, second = zip(*map(self.memo.__getitem__, distinct))
         count = np.bincount(codes, minlength=len(distinct))
-        lengths = np.fromiter((len(ids) for ids, _ in found), dtype=np.int64, count=len(found))
-        flat = np.fromiter(chain.from_iterable(ids for ids, _ in found), dtype=np.int64, count=int(lengths.sum()))
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 2
+        flat = np.frombuffer(b"".join(ids), dtype=np.uint16)
         weight = np.repeat(count, lengths)
         n = int(weight.sum())
-        n2 = int(count @ np.fromiter((k for _, k in found), dtype=np.int64, count=len(found)))
+        n2 = int(count @ np.array(second))
         if n:
             share = np.bincount(flat, weights=weight)
             share = share[share > 0] / n
@@ -124,7 +137,7 @@ def measure(docs: DataFrame, piece_model: str, ranks: str, pattern: str) -> Data
 
     def run(batch):
         texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
-        rows = [shared.value.measure(t) for t in texts]
+        rows = [r for at in range(0, len(texts), 64) for r in shared.value.measure(texts[at:at + 64])]
         out = {k: [r[k] for r in rows] for k in [*_MEASURES, *BANDS]}
         out["size_class"] = [int(r["n_pieces"]).bit_length() for r in rows]
         out["grp"] = [f"lang:{x}" if x else script(t) for x, t in zip(langs, texts)]
