@@ -31,6 +31,9 @@ HEADLINE = [
     "m6_latest_record_per_id",
     "m5_k8_feature_group_ingest",
     "st1_stream_canonical_available_now",
+    "m8_m9_gbt_train_and_score",
+    "m12_l4_tuning_best_trial",
+    "m19_l3_candidate_leaderboard",
 ]
 
 

@@ -83,16 +83,24 @@ def auc(df: DataFrame, label: str = "label", score: str = "score", threshold: fl
        (broadcast), negatives before each score inside its bucket by a window
        partitioned on the bucket;
     4. AUC = sum(pos * (neg_below + neg/2)) / (P * N).
+
+    Rows with a null or NaN score or a null label have no place in the ranking:
+    they are left out of all metrics and counted in ``excluded``.
     """
     y = F.col(label).cast("int")
-    per_score = df.groupBy(F.col(score).cast("double").alias("s")).agg(
+    s = F.col(score).cast("double")
+    usable = s.isNotNull() & ~F.isnan(s) & y.isNotNull()
+    per_score = df.groupBy(F.when(usable, s).alias("s")).agg(
+        F.sum((~usable).cast("long")).alias("excluded"),
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("pos"),
         F.sum(F.when(y == 0, 1).otherwise(0)).cast("double").alias("neg"),
     )
     # The per-score table feeds three jobs (count, quantiles, ranking): write it
     # once as a table in the shared checkpoint folder instead of re-running the
     # input plan (a written table also cuts lineage for executor-loss recovery).
-    per_score = materialize(per_score, "auc_per_score")
+    table = materialize(per_score, "auc_per_score")
+    excluded = int(table.agg(F.sum("excluded")).first()[0] or 0)
+    per_score = table.where("s IS NOT NULL").drop("excluded")
     distinct_scores = per_score.count()
     bucketed = _score_buckets(per_score, "s", distinct_scores)
     per_bucket = bucketed.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))
@@ -111,6 +119,7 @@ def auc(df: DataFrame, label: str = "label", score: str = "score", threshold: fl
                      F.sum(F.col("pos") + F.col("neg"))).alias("accuracy"),
         F.sum("pos").cast("bigint").alias("positives"),
         F.sum("neg").cast("bigint").alias("negatives"),
+        F.lit(excluded).cast("bigint").alias("excluded"),
     )
 
 

@@ -29,10 +29,12 @@ class DimensionStats:
     rows: int
     distinct_keys: int
     bytes: int = 0
+    null_keys: int = 0
 
     @property
     def unique(self) -> bool:
-        return self.rows == self.distinct_keys
+        """No key twice; rows with a null key match nothing and do no harm."""
+        return self.rows - self.null_keys == self.distinct_keys
 
 
 def _value_bytes(name: str, dtype: str):
@@ -47,8 +49,8 @@ def dimension_stats(dim: DataFrame, key: str) -> DimensionStats:
     """One aggregate job over the dimension: rows, distinct keys and data bytes (measured, not estimated)."""
     size = sum((_value_bytes(n, t) for n, t in dim.dtypes), F.lit(0))
     row = dim.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("k"),
-                  F.sum(size.cast("long")).alias("b")).first()
-    return DimensionStats(int(row["n"]), int(row["k"]), int(row["b"] or 0))
+                  F.sum(size.cast("long")).alias("b"), F.count_if(F.col(key).isNull()).alias("z")).first()
+    return DimensionStats(int(row["n"]), int(row["k"]), int(row["b"] or 0), int(row["z"]))
 
 
 def checked_broadcast(dim: DataFrame, key: str, max_rows: int = DEFAULT_BROADCAST_ROWS,

@@ -43,7 +43,9 @@ def metrics_from_log(lines: DataFrame, patterns: dict[str, str] | None = None, t
 
 
 def run_log_rows(runs: DataFrame, prefix: str = "") -> DataFrame:
-    """Normalise a run table: short run name, metric names with ':' -> '_'.
+    """Normalise a run table: run name without ``prefix``, metric names with ':' -> '_'.
+
+    The whole name stays the key; :func:`compare_runs` cuts it for display.
 
     ``runs`` has ``run_name, learning_rate, max_depth, n_estimators, metric_name, value``.
     """
@@ -51,7 +53,7 @@ def run_log_rows(runs: DataFrame, prefix: str = "") -> DataFrame:
     if prefix:
         name = F.replace(name, F.lit(prefix), F.lit(""))
     return runs.select(
-        F.substring(name, 1, RUN_NAME_CHARS).alias("run_name"),
+        name.alias("run_name"),
         "learning_rate", "max_depth", "n_estimators",
         F.replace(F.col("metric_name"), F.lit(":"), F.lit("_")).alias("metric_name"),
         F.col("value").cast("double").alias("value"),
@@ -65,9 +67,11 @@ def append_rows(rows: DataFrame, path: str) -> DataFrame:
 
 
 def compare_runs(run_log: DataFrame, metrics: list[str]) -> DataFrame:
-    """M13 comparison view: one row per run, one column per metric (``pivot`` with a fixed value list)."""
+    """M13 comparison view: one row per run, one column per metric (``pivot`` with a fixed value list),
+    run names cut to 60 characters after the grouping."""
     return (run_log.groupBy("run_name", "learning_rate", "max_depth", "n_estimators")
-            .pivot("metric_name", metrics).agg(F.max("value")))
+            .pivot("metric_name", metrics).agg(F.max("value"))
+            .withColumn("run_name", F.substring("run_name", 1, RUN_NAME_CHARS)))
 
 
 def leaderboard(candidates: DataFrame, metric: str = "value", name: str = "candidate") -> DataFrame:

@@ -59,14 +59,19 @@ def hash_threshold(hashes: DataFrame, n: int, col: str = "h") -> str | None:
 def take_by_hash(df: DataFrame, n: int, key_cols: list[str], seed: int | str = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, those with the smallest key hash.
 
-    Keys should be unique; rows sharing a key hash are kept or dropped together.
+    Where rows share the boundary key hash, those whose whole content sorts first are taken
+    (of identical rows, any), so the count is exact for repeated keys as well.
     """
     h = key_hash(key_cols, seed)
     hashes = df.select(h.alias("h"))
     t = hash_threshold(hashes, n)
     if t is None:
         return df
-    return df.where(h <= F.lit(t))
+    row = hashes.agg(F.count_if(F.col("h") < t).alias("below"), F.count_if(F.col("h") == t).alias("at")).first()
+    if row["below"] + row["at"] == n:
+        return df.where(h <= F.lit(t))
+    ties = df.where(h == F.lit(t)).orderBy(F.to_json(F.struct(*df.columns))).limit(n - row["below"])
+    return df.where(h < F.lit(t)).unionAll(ties)
 
 
 def approx_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:

@@ -9,10 +9,12 @@ dependencies in order.  The SQL is written independently of the Spark code
 from __future__ import annotations
 
 from farebox.fixtures import DUCKDB_TRIPS, DUCKDB_ZONES
-from farebox.functions.columns import PAYMENT_TYPE_LABELS
 from farebox.plans.model_flow import fixed_score_sql
 
-_PAY = " ".join(f"WHEN payment_type = {k} THEN '{v}'" for k, v in PAYMENT_TYPE_LABELS.items())
+# The label of each payment code.
+PAYMENT_CASES = ("WHEN payment_type = 1 THEN 'Credit card' WHEN payment_type = 2 THEN 'Cash' "
+                 "WHEN payment_type = 3 THEN 'No charge' WHEN payment_type = 4 THEN 'Dispute' "
+                 "WHEN payment_type = 5 THEN 'Unknown' WHEN payment_type = 6 THEN 'Voided trip'")
 
 
 def split_sql(key: str = "trip_key") -> str:
@@ -24,6 +26,7 @@ def sample_qualify(n: int, key: str = "trip_key", seed: int = 42) -> str:
     return f"QUALIFY row_number() OVER (ORDER BY md5(concat_ws('|', {key}, '{seed}'))) <= {n}"
 
 
+# The features of the two datasets.
 _A_NUM = ["trip_distance", "trip_duration_min", "trip_speed_mph", "pickup_hour", "passenger_count", "fare_amount"]
 _B_FEAT = ["trip_distance", "trip_duration_min", "trip_speed_mph", "pickup_hour", "passenger_count",
            "fare_amount", "is_airport_trip"]
@@ -68,7 +71,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "featured": (["f5"], f"""
         SELECT *, CAST(hour(pickup_ts) AS INTEGER) AS pickup_hour, dayname(pickup_ts) AS pickup_dow,
                CAST(pickup_ts AS DATE) AS pickup_date,
-               CASE {_PAY} ELSE 'Unknown' END AS payment_label,
+               CASE {PAYMENT_CASES} ELSE 'Unknown' END AS payment_label,
                CASE WHEN fare_amount > 0 THEN round(tip_amount / fare_amount * 100, 2) ELSE 0.0 END AS tip_pct,
                CASE WHEN trip_distance < 2 THEN 'short' WHEN trip_distance < 5 THEN 'medium'
                     WHEN trip_distance < 10 THEN 'long' ELSE 'very_long' END AS trip_distance_bucket,
@@ -90,7 +93,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT trip_key, {split_sql()} AS split, * EXCLUDE (trip_key) FROM (
           SELECT trip_key, high_tip, {', '.join(_A_NUM)}, CAST(is_airport_trip AS INTEGER) AS is_airport_trip,
                  {', '.join(_dummies('trip_distance_bucket', A_DISTANCE_BUCKETS) + _dummies('pickup_borough', A_BOROUGHS))}
-          FROM ds_a_card {sample_qualify(150000)})
+          FROM ds_a_card)
         WHERE {_all_not_null(['high_tip', *_A_NUM, 'is_airport_trip'])}"""),
     "ds_b_f": (["trips"], """
         SELECT * FROM (
@@ -115,7 +118,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         WHERE {_all_not_null(['trip_key', 'high_tip', *_B_FEAT])}"""),
     "ds_b": (["ds_b_cc"], f"""
         SELECT trip_key, {split_sql()} AS split, high_tip, {', '.join(_B_FEAT)}
-        FROM ds_b_cc {sample_qualify(150000)}"""),
+        FROM ds_b_cc"""),
     "ds_b_test": (["ds_b"], f"SELECT *, {fixed_score_sql()} AS score FROM ds_b WHERE split = 'test'"),
     "ds_b_train": (["ds_b"], "SELECT * FROM ds_b WHERE split = 'train'"),
 }

@@ -10,11 +10,12 @@ They differ on purpose -- kept apart and named (SURVEY §2.12):
   cases **before** sampling and keeps 7 fixed features.
 
 Row positions are replaced by a hash of ``trip_key``: sampling picks the
-smallest hashes, the split is a hash bucket.  Both are deterministic.  The
-sample (at most ``sample_rows`` rows) is written once to the shared folder,
-so everything downstream -- category discovery, splits, every training pass
--- reads that small table instead of re-running the pipeline from the raw
-scan.
+smallest hashes, the split is a hash bucket.  Both are deterministic.  By
+default a dataset holds every row, so evaluation, bias, attributions and
+feature ingest see the whole data; only a model fit bounds its training rows
+(``learn.FIT_ROWS``).  ``sample_rows`` cuts the dataset itself where that is
+wanted.  The rows are written once to the shared folder, so everything
+downstream reads that table instead of re-running the pipeline from the raw scan.
 """
 
 from __future__ import annotations
@@ -35,25 +36,27 @@ CATEGORICAL = ["trip_distance_bucket", "pickup_borough"]
 BOOL = ["is_airport_trip"]
 FIXED_FEATURES = ["trip_distance", "trip_duration_min", "trip_speed_mph", "pickup_hour",
                   "passenger_count", "fare_amount", "is_airport_trip"]
-SAMPLE_ROWS = 150_000
 SAMPLE_SEED = 42
 KEY = "trip_key"
 # ------------------------------------------------------------------------------
 
 
-def one_hot_dataset(enriched: DataFrame, sample_rows: int = SAMPLE_ROWS, categories: dict | None = None,
+def _sampled(df: DataFrame, sample_rows: int | None, key: str) -> DataFrame:
+    return df if sample_rows is None else take_by_hash(df, sample_rows, [key], SAMPLE_SEED)
+
+
+def one_hot_dataset(enriched: DataFrame, sample_rows: int | None = None, categories: dict | None = None,
                     key: str = KEY) -> DataFrame:
-    """M3: F6(label) -> P10b -> P12 -> L5 -> P15 -> M1 -> F7 -> P13 -> M2.
+    """M3: F6(label) -> P10b -> P12 -> L5 (if asked for) -> P15 -> M1 -> F7 -> P13 -> M2.
 
     ``enriched`` must carry ``key``.  Returns ``key, split, high_tip, features...``.
     """
     cols = NUMERIC + CATEGORICAL + BOOL + ["payment_label", "tip_pct", key]
     df = CL.card_payments(enriched.select(*cols), by="label")
     df = df.withColumn(LABEL, C.high_tip_01()).drop("payment_label", "tip_pct")
-    # the sample holds at most ``sample_rows`` rows: write it once so category
-    # discovery and the final projection read it instead of re-running the
-    # whole pipeline from the raw scan
-    df = materialize(take_by_hash(df, sample_rows, [key], SAMPLE_SEED), "dataset_a_sample")
+    # written once: category discovery and the final projection read it instead
+    # of re-running the whole pipeline from the raw scan
+    df = materialize(_sampled(df, sample_rows, key), "dataset_a_rows")
     df = CL.booleans_to_int(df)
     df = one_hot(df, CATEGORICAL, categories)
     df = CL.complete_cases(df)
@@ -81,10 +84,10 @@ def fixed_feature_rows(trips: DataFrame, key: str = KEY) -> DataFrame:
     return CL.complete_cases(df.select(key, LABEL, *FIXED_FEATURES))
 
 
-def fixed_feature_dataset(trips: DataFrame, sample_rows: int = SAMPLE_ROWS, key: str = KEY) -> DataFrame:
+def fixed_feature_dataset(trips: DataFrame, sample_rows: int | None = None, key: str = KEY) -> DataFrame:
     """:func:`fixed_feature_rows` -> L5 (complete cases **before** the sample) -> M2."""
     df = fixed_feature_rows(trips, key)
-    df = materialize(take_by_hash(df, sample_rows, [key], SAMPLE_SEED), "dataset_b_sample")
+    df = materialize(_sampled(df, sample_rows, key), "dataset_b_rows")
     df = with_split(df, key)
     return df.select(key, "split", LABEL, *FIXED_FEATURES)
 

@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from farebox import fixtures as X
 from farebox.functions import columns as C
-from farebox.functions.names import sanitize_names
 from farebox.operators import aggregate as A
 from farebox.operators import bias as B
 from farebox.operators import cleaning as CL
@@ -30,7 +29,7 @@ from farebox.operators import learn as L
 from farebox.operators import runs as R
 from farebox.operators import sampling as S
 from farebox.operators.encode import one_hot
-from farebox.oracle import A_DUMMY_NAMES, B_FEATURES, fixed_score_sql, sample_qualify, split_sql, with_ctes
+from farebox.oracle import A_DUMMY_NAMES, B_FEATURES, PAYMENT_CASES, fixed_score_sql, sample_qualify, split_sql, with_ctes
 from farebox.plans import canonical as P
 from farebox.plans import ml_tables as M
 from farebox.plans import model_flow as MF
@@ -172,8 +171,7 @@ def q_p5e(spark, d):
 
 @register("p6_payment_label", with_ctes(
     "SELECT trip_key, payment_type, payment_label FROM (SELECT *, CASE "
-    + " ".join(f"WHEN payment_type = {k} THEN '{v}'" for k, v in C.PAYMENT_TYPE_LABELS.items())
-    + " ELSE 'Unknown' END AS payment_label FROM trips)", "trips"))
+    + PAYMENT_CASES + " ELSE 'Unknown' END AS payment_label FROM trips)", "trips"))
 def q_p6(spark, d):
     return trips(spark, d).select("trip_key", "payment_type", C.payment_label().alias("payment_label"))
 
@@ -245,13 +243,23 @@ def q_p13(spark, d):
     return CL.label_first(P.add_ml_label(enriched(spark, d)), "high_tip")
 
 
+# Column and expected feature name of dataset A.
+_A_FEATURE_NAMES = [
+    ("high_tip", "high_tip"), ("trip_distance", "trip_distance"), ("trip_duration_min", "trip_duration_min"),
+    ("trip_speed_mph", "trip_speed_mph"), ("pickup_hour", "pickup_hour"), ("passenger_count", "passenger_count"),
+    ("fare_amount", "fare_amount"), ("is_airport_trip", "is_airport_trip"),
+    ("trip_distance_bucket_medium", "trip_distance_bucket_medium"),
+    ("trip_distance_bucket_short", "trip_distance_bucket_short"),
+    ("trip_distance_bucket_very_long", "trip_distance_bucket_very_long"),
+    ("pickup_borough_AMERICA", "pickup_borough_AMERICA"), ("pickup_borough_ASIA", "pickup_borough_ASIA"),
+    ("pickup_borough_EUROPE", "pickup_borough_EUROPE"),
+    ("pickup_borough_MIDDLE EAST", "pickup_borough_MIDDLE_EAST"), ("pickup_borough_N/A", "pickup_borough_N_A"),
+]
+
+
 @register("p14_sanitize_names", with_ctes(
     "SELECT " + ", ".join(
-        f"\"{c}\" AS \"{s}\"" for c, s in zip(
-            ["trip_key", "split", "high_tip", "trip_distance", "trip_duration_min", "trip_speed_mph", "pickup_hour",
-             "passenger_count", "fare_amount", "is_airport_trip", *A_DUMMY_NAMES],
-            sanitize_names(["trip_key", "split", "high_tip", "trip_distance", "trip_duration_min", "trip_speed_mph",
-                            "pickup_hour", "passenger_count", "fare_amount", "is_airport_trip", *A_DUMMY_NAMES])))
+        f"\"{c}\" AS \"{s}\"" for c, s in [("trip_key", "trip_key"), ("split", "split"), *_A_FEATURE_NAMES])
     + " FROM ds_a", "ds_a"))
 def q_p14(spark, d):
     return CL.sanitize_columns(dataset_a(spark, d))
@@ -390,7 +398,8 @@ def q_a5(spark, d):
 _AUC_SQL = """
     SELECT round(sum(pos * (coalesce(neg_below, 0) + neg / 2.0)) / (sum(pos) * sum(neg)), 10) AS auc,
            round(sum(CASE WHEN s >= 0.5 THEN pos ELSE neg END) / sum(pos + neg), 10) AS accuracy,
-           CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives
+           CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
+           (SELECT count(*) FROM ds_b_test WHERE score IS NULL OR isnan(score) OR high_tip IS NULL) AS excluded
     FROM (SELECT s, pos, neg, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS neg_below
           FROM (SELECT score AS s, CAST(sum(CASE WHEN high_tip = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS pos,
                        CAST(sum(CASE WHEN high_tip = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS neg
@@ -445,35 +454,43 @@ def q_l6(spark, d):
     return S.approx_sample(enriched(spark, d), 0.1, seed=42)
 
 
+SPLITS = ("train", "validation", "test")
+
+
 # ------------------------------------------------------------------ set operations U1-U3
 
 @register("u2_append_frames", with_ctes(
     "SELECT 'train' AS split, count(*) AS rows FROM ds_b WHERE split = 'train' "
+    "UNION ALL SELECT 'validation', count(*) FROM ds_b WHERE split = 'validation' "
     "UNION ALL SELECT 'test', count(*) FROM ds_b WHERE split = 'test'", "ds_b"))
 def q_u2(spark, d):
     ds = dataset_b(spark, d)
     parts = [ds.where(F.col("split") == s).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(s).alias("split"), "rows")
-             for s in ("train", "test")]
+             for s in SPLITS]
     return U.append_all(parts)
 
 
 @register("u3_frame_difference", with_ctes("""
-    SELECT *, 'left_only' AS side FROM (SELECT * FROM (SELECT DISTINCT * FROM trips_dup) EXCEPT ALL SELECT * FROM trips)
+    SELECT *, 'left_only' AS side FROM (
+        SELECT * FROM trips_dup WHERE DOLocationID IS DISTINCT FROM 2
+        EXCEPT ALL SELECT * FROM trips WHERE PULocationID IS DISTINCT FROM 7)
     UNION ALL
-    SELECT *, 'right_only' FROM (SELECT * FROM trips EXCEPT ALL SELECT DISTINCT * FROM trips_dup)""",
+    SELECT *, 'right_only' FROM (
+        SELECT * FROM trips WHERE PULocationID IS DISTINCT FROM 7
+        EXCEPT ALL SELECT * FROM trips_dup WHERE DOLocationID IS DISTINCT FROM 2)""",
     "trips", "trips_dup"))
 def q_u3(spark, d):
-    return U.frame_difference(A.drop_duplicates(X.trips_dup(spark, d)), trips(spark, d))
+    """Rows copied on one side (pickup 3) and rows missing on either side, with their multiplicity."""
+    left = X.trips_dup(spark, d).where(~F.col("DOLocationID").eqNullSafe(2))
+    return U.frame_difference(left, trips(spark, d).where(~F.col("PULocationID").eqNullSafe(7)))
 
 
 # ------------------------------------------------------------------ sources / sinks
 
-def _materialize_trips(spark, d, parts: int = 4) -> str:
-    """Raw trips as Parquet files in nested folders (the shape of a raw landing zone)."""
+def _materialize_trips(spark, d) -> str:
+    """Raw trips as Parquet files in one folder per vendor (the shape of a raw landing zone), in one pass."""
     base = scratch_path(spark, "raw_trips")
-    t = trips(spark, d)
-    for v in (1, 2):
-        t.where(F.col("VendorID") == v).repartition(parts).write.mode("overwrite").parquet(f"{base}/vendor{v}/month=01")
+    trips(spark, d).withColumn("vendor", F.col("VendorID")).write.partitionBy("vendor").parquet(base)
     return base
 
 
@@ -483,6 +500,7 @@ def q_s1(spark, d):
     return RD.read_parquet(spark, base, recursive=True).select(*X.RAW_TRIP_COLUMNS)
 
 
+# The columns the preprocessing step reads.
 _PRE_COLS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance", "passenger_count", "fare_amount",
              "tip_amount", "payment_type", "RatecodeID", "Airport_fee"]
 
@@ -490,7 +508,7 @@ _PRE_COLS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance", "
 @register("s2_u1_scan_many_projected", with_ctes(f"SELECT {', '.join(_PRE_COLS)} FROM trips", "trips"))
 def q_s2(spark, d):
     base = _materialize_trips(spark, d)
-    return RD.read_parquet(spark, [f"{base}/vendor1/month=01", f"{base}/vendor2/month=01"], columns=_PRE_COLS)
+    return RD.read_parquet(spark, f"{base}/vendor=*", columns=_PRE_COLS)
 
 
 @register("s3_k7_csv_roundtrip_infer", with_ctes("SELECT * FROM zones", "zones"))
@@ -515,11 +533,11 @@ _B_SCHEMA = T.StructType([T.StructField(c, T.DoubleType()) for c in ["high_tip",
 
 @register("k3_s7_splits_with_header", with_ctes(
     "SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in ["high_tip", *B_FEATURES])
-    + " FROM ds_b WHERE split = 'train'", "ds_b"))
+    + ", split FROM ds_b", "ds_b"))
 def q_k3(spark, d):
     path = scratch_path(spark, "splits_header")
     WR.write_splits(dataset_b(spark, d).drop("trip_key"), path, header=True)
-    return RD.read_channel(spark, f"{path}/split=train")
+    return U.append_all([RD.read_channel(spark, f"{path}/split={s}").withColumn("split", F.lit(s)) for s in SPLITS])
 
 
 _A_COLS = ["high_tip", "trip_distance", "trip_duration_min", "trip_speed_mph", "pickup_hour", "passenger_count",
@@ -527,22 +545,23 @@ _A_COLS = ["high_tip", "trip_distance", "trip_duration_min", "trip_speed_mph", "
 
 
 @register("s5_csv_header_explicit_schema", with_ctes(
-    "SELECT " + ", ".join(f"\"{c}\"" for c in _A_COLS) + " FROM ds_a WHERE split = 'validation'", "ds_a"))
+    "SELECT " + ", ".join(f"\"{c}\"" for c in _A_COLS) + ", split FROM ds_a", "ds_a"))
 def q_s5(spark, d):
     path = scratch_path(spark, "dataset_a_csv")
     ds = dataset_a(spark, d).drop("trip_key")
     WR.write_splits(ds, path, header=True)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in ds.drop("split").schema.fields])
-    return RD.read_csv(spark, f"{path}/split=validation", header=True, schema=schema)
+    return U.append_all([RD.read_csv(spark, f"{path}/split={s}", header=True, schema=schema).withColumn("split", F.lit(s))
+                         for s in SPLITS])
 
 
 @register("k4_s6_s7_splits_headerless", with_ctes(
     "SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS _c{i}" for i, c in enumerate(["high_tip", *B_FEATURES]))
-    + " FROM ds_b WHERE split = 'validation'", "ds_b"))
+    + ", split FROM ds_b", "ds_b"))
 def q_k4(spark, d):
     path = scratch_path(spark, "splits_noheader")
     WR.write_splits(dataset_b(spark, d).drop("trip_key"), path, header=False)
-    return RD.read_channel(spark, f"{path}/split=validation")
+    return U.append_all([RD.read_channel(spark, f"{path}/split={s}").withColumn("split", F.lit(s)) for s in SPLITS])
 
 
 @register("s6_csv_positional_schema", with_ctes(
@@ -643,11 +662,7 @@ def _feature_rows(spark, d):
 
 @register("m5_k8_feature_group_ingest", with_ctes(
     "SELECT md5(trip_key) AS trip_id, " + ", ".join(
-        f"\"{c}\" AS \"{s}\"" for c, s in zip(
-            ["high_tip", "trip_distance", "trip_duration_min", "trip_speed_mph", "pickup_hour", "passenger_count",
-             "fare_amount", "is_airport_trip", *A_DUMMY_NAMES],
-            sanitize_names(["high_tip", "trip_distance", "trip_duration_min", "trip_speed_mph", "pickup_hour",
-                            "passenger_count", "fare_amount", "is_airport_trip", *A_DUMMY_NAMES])))
+        f"\"{c}\" AS \"{s}\"" for c, s in _A_FEATURE_NAMES)
     + f", CAST({LOAD_TS!r} AS DOUBLE) AS event_time, CAST(to_timestamp({LOAD_TS!r}) AS DATE) AS event_date "
       "FROM ds_a WHERE split = 'train'", "ds_a"))
 def q_m5(spark, d):
@@ -777,12 +792,12 @@ def q_m16(spark, d):
 
 @register("m18_bias_baseline", with_ctes(
     "SELECT facet_value, metric, value, 'DataBiasCheck' AS check_name, 1 AS baseline_version FROM ("
-    "UNPIVOT (" + _bias_sql("ds_b_train", "is_airport_trip", "high_tip", False)
-    + ") ON CI, DPL, KL, JS, LP, TVD, KS INTO NAME metric VALUE value)", "ds_b_train"))
+    "SELECT * FROM (" + _bias_sql("ds_b_train", "is_airport_trip", "high_tip", False)
+    + ") UNPIVOT INCLUDE NULLS (value FOR metric IN (CI, DPL, KL, JS, LP, TVD, KS)))", "ds_b_train"))
 def q_m18(spark, d):
     metrics = MF.data_bias(M.split_of(dataset_b(spark, d), "train"))
     long = _round_doubles(B.to_long(metrics, B.PRE_METRICS))
-    return R.baseline_rows(long.where(F.col("value").isNotNull()), "DataBiasCheck")
+    return R.append_rows(R.baseline_rows(long, "DataBiasCheck"), scratch_path(spark, "bias_baselines"))
 
 
 def _shap_sql(src: str, baseline: list[float] | None, per_row: bool = False, digits: int = METRIC_DIGITS) -> str:
@@ -961,3 +976,89 @@ def q_m13(spark, d):
 def q_m19(spark, d):
     train, val, _ = _b_splits(spark, d)
     return R.leaderboard(L.rank_candidates(spark, train, val, "high_tip"))
+
+
+# ------------------------------------------------------------------ relational model steps on fixed scorers
+
+# Candidate names (the first is longer than the leaderboard's cut) and their score columns over the test split.
+_FIXED_CANDIDATES = [("fixed_logistic_scorer_over_all_seven_features_v1", "score"),
+                     ("distance_only", "trip_distance"), ("hour_only", "pickup_hour"), ("hour_again", "pickup_hour")]
+
+
+def _auc_sql_of(column: str, source: str = "ds_b_test") -> str:
+    return f"""(SELECT round(sum(pos * (coalesce(below, 0) + neg / 2.0)) / (sum(pos) * sum(neg)), 10)
+        FROM (SELECT pos, neg, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below
+              FROM (SELECT CAST({column} AS DOUBLE) AS s, CAST(count(*) FILTER (high_tip = 1) AS DOUBLE) AS pos,
+                           CAST(count(*) FILTER (high_tip = 0) AS DOUBLE) AS neg FROM {source} GROUP BY 1)))"""
+
+
+_CANDIDATES_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS candidate, 'validation:auc' AS metric_name, {_auc_sql_of(column)} AS value"
+    for name, column in _FIXED_CANDIDATES)
+
+
+def _fixed_candidates(spark, d):
+    test = scored_test(spark, d)
+    return U.append_all([
+        A.auc(test, "high_tip", column).select(F.lit(name).alias("candidate"), F.lit("validation:auc").alias("metric_name"),
+                                               F.round("auc", METRIC_DIGITS).alias("value"))
+        for name, column in _FIXED_CANDIDATES])
+
+
+@register("l3_leaderboard_fixed_scorers", with_ctes(
+    "SELECT CAST(row_number() OVER (ORDER BY value DESC, candidate) AS INTEGER) AS rank, "
+    f"substr(candidate, 1, 44) AS candidate, metric_name, value FROM ({_CANDIDATES_SQL})", "ds_b_test"))
+def q_l3(spark, d):
+    return R.leaderboard(_fixed_candidates(spark, d))
+
+
+@register("l4_best_fixed_scorer", with_ctes(
+    f"SELECT max_by(candidate, value) AS best_candidate, max(value) AS best_value FROM ({_CANDIDATES_SQL}) "
+    "WHERE candidate <> 'hour_again'", "ds_b_test"))
+def q_l4(spark, d):
+    return R.best_run(_fixed_candidates(spark, d).where("candidate <> 'hour_again'"), "value", "candidate")
+
+
+@register("m13_run_log_fixed_scorers", with_ctes(
+    "SELECT candidate AS run_name, CAST(0.1 AS DOUBLE) AS learning_rate, 3 AS max_depth, 1 AS n_estimators, "
+    f"value AS validation_auc FROM ({_CANDIDATES_SQL})", "ds_b_test"))
+def q_m13_fixed(spark, d):
+    runs = _fixed_candidates(spark, d).select(
+        F.concat(F.lit("taxi-"), F.col("candidate")).alias("run_name"), F.lit(0.1).alias("learning_rate"),
+        F.lit(3).alias("max_depth"), F.lit(1).alias("n_estimators"), "metric_name", "value")
+    return R.compare_runs(R.append_rows(R.run_log_rows(runs, "taxi-"), scratch_path(spark, "runs")), ["validation_auc"])
+
+
+@register("m14c_gate_per_candidate", with_ctes(f"""
+    WITH c AS ({_CANDIDATES_SQL})
+    SELECT value AS auc, 'Approved' AS approval_status FROM c
+    WHERE value >= (SELECT value FROM c WHERE candidate = 'hour_only')""", "ds_b_test"))
+def q_m14c(spark, d):
+    """The gate at one candidate's own AUC: that candidate passes by equality, lower ones fail."""
+    found = _fixed_candidates(spark, d)
+    threshold = found.where("candidate = 'hour_only'").first()["value"]
+    report = F.to_json(F.struct(F.struct(F.struct(F.col("value")).alias("auc")).alias("binary_classification_metrics")))
+    return R.quality_gate(found.select(report.alias("report")), threshold).select("auc", "approval_status")
+
+
+@register("l6p_bernoulli_sample_properties", with_ctes(
+    "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS foreign_rows, true AS near_rate FROM enriched", "enriched"))
+def q_l6p(spark, d):
+    """A tenth of the rows, within 6 standard deviations, each of them a row of the input."""
+    rows = enriched(spark, d)
+    sample = S.approx_sample(rows, 0.1, seed=42).select("trip_key").withColumn("taken", F.lit(1))
+    joined = rows.select("trip_key", F.lit(1).alias("known")).join(sample, "trip_key", "full")
+    n, k = F.count("known"), F.count("taken")
+    return joined.agg(n.alias("rows"), F.count_if(F.col("known").isNull()).alias("foreign_rows"),
+                      (F.abs(k - 0.1 * n) < 6 * F.sqrt(0.09 * n) + 1).alias("near_rate"))
+
+
+@register("m8p_gbt_properties", with_ctes(
+    "SELECT count(*) AS rows, count(*) AS scores_in_range, true AS beats_base_rate FROM ds_b_train", "ds_b_train"))
+def q_m8p(spark, d):
+    """The fitted model scores every training row within [0, 1] and ranks them better than a constant."""
+    model, train, _, _ = _job_model(spark, d)
+    scored = L.score(model, train)
+    auc = A.auc(scored, "high_tip").select((F.col("auc") > 0.5).alias("beats_base_rate"))
+    counts = scored.agg(F.count("*").alias("rows"), F.count_if(F.col("score").between(0, 1)).alias("scores_in_range"))
+    return counts.join(F.broadcast(auc))

@@ -7,7 +7,8 @@ and finds the shared folder used for written intermediates.
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -59,15 +60,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir).  Only when neither is set (tests, a laptop) a fresh folder is made and
-    registered, so later calls in the same session agree.
+    dir).  Where neither is set, a single-process master (tests, a laptop) gets a fresh
+    folder that goes when the process ends; a cluster raises, since executors
+    would each write to their own disk.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not (sc.master == "local" or sc.master.startswith("local[")):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="farebox-ckpt-")
+            atexit.register(shutil.rmtree, root, ignore_errors=True)
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
     return root
@@ -79,12 +84,6 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "farebox", *parts, uuid.uuid4().hex[:12]])
 
 
-def stable_scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A deterministic path under the shared root (for reusable materialisations)."""
-    root = checkpoint_root(spark).rstrip("/")
-    return "/".join([root, "farebox", *parts])
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Hadoop-filesystem existence check (works for any URI scheme)."""
     jvm = spark.sparkContext._jvm
@@ -138,17 +137,22 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 MB = 1024 * 1024
 
 
-def scale_settings(total_input_bytes: int, total_cores: int) -> dict[str, str]:
+MAX_SHUFFLE_PARTITIONS = 40_000
+
+
+def scale_settings(total_input_bytes: int, total_cores: int, shuffled_share: float = 0.1) -> dict[str, str]:
     """Session settings sized from the input volume (e.g. 100 TB on 1,000 executors).
 
     * scan splits of 256 MB (Parquet row groups are read whole; fewer, larger tasks);
-    * initial shuffle partitions so each holds ~200 MB of input before AQE
-      coalesces toward 128 MB (at least 3 waves of tasks over the cores):
-      100 TB -> ~524k partitions; AQE merges small ones at run time;
+    * initial shuffle partitions so each holds ~200 MB of the shuffled bytes
+      (``shuffled_share`` of the input; most plans shuffle narrow rows), at least 3
+      waves of tasks over the cores and at most ``MAX_SHUFFLE_PARTITIONS``: every map task
+      writes an index entry per partition; AQE merges small ones at run time;
     * skew split above 512 MB, or 5x the median partition;
     * coalescing respects the advisory size instead of maximising parallelism.
     """
-    shuffle = max(3 * total_cores, -(-total_input_bytes // (200 * MB)))
+    shuffle = min(MAX_SHUFFLE_PARTITIONS, -(-int(total_input_bytes * shuffled_share) // (200 * MB)))
+    shuffle = max(3 * total_cores, shuffle)
     return {
         "spark.sql.files.maxPartitionBytes": str(256 * MB),
         "spark.sql.shuffle.partitions": str(int(shuffle)),
@@ -167,10 +171,3 @@ def configure_for_scale(spark: SparkSession, paths: list[str], total_cores: int
     for k, v in settings.items():
         spark.conf.set(k, v)
     return settings
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

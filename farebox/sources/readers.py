@@ -56,57 +56,62 @@ def read_csv(spark: SparkSession, path: str, header: bool = True, schema: T.Stru
 
 
 def csv_files(spark: SparkSession, path: str) -> list[str]:
-    """The ``*.csv`` files of a channel directory; raises when it is missing or empty."""
-    if not path or not path_exists(spark, path):
-        raise FileNotFoundError(f"Input channel path does not exist: {path}")
-    files = list_files(spark, path, ".csv")
+    """The non-empty ``*.csv`` files of a channel directory (writers leave empty parts behind)."""
+    files = list_files(spark, path, ".csv", non_empty=True) if path and path_exists(spark, path) else []
     if not files:
-        raise FileNotFoundError(f"No CSV data files found in channel: {path}")
+        raise FileNotFoundError(f"nothing to read in {path!r}")
     return files
 
 
-def first_data_file(spark: SparkSession, files: list[str]) -> str:
-    """The first non-empty file (writers leave empty part files for empty partitions)."""
-    sized = set(list_files(spark, files[0].rsplit("/", 1)[0], ".csv", non_empty=True))
-    for f in files:
-        if f in sized:
-            return f
-    raise FileNotFoundError("all CSV files of the channel are empty")
+def channel_layouts(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...] | int, list[str]]:
+    """S7 helper: files by layout, which is the header's names, or the number of columns of a file without one.
 
-
-def first_line_is_header(spark: SparkSession, file: str) -> tuple[bool, list[str]]:
-    """S7 helper: a header is present iff some token of the first line is not a number."""
-    line = first_line(spark, file) or ""
-    tokens = line.strip().split(",")
-
-    def is_num(tok: str) -> bool:
-        try:
-            float(tok)
-            return True
-        except ValueError:
-            return False
-
-    return (not all(is_num(t) for t in tokens)), tokens
+    A first line is a header if a token neither casts to a number nor is empty (a missing
+    value).  One line per file is read.
+    """
+    lines = spark.createDataFrame([(f, first_line(spark, f) or "") for f in files], "file string, line string")
+    tokens = F.transform(F.split(F.trim("line"), ","), F.trim)
+    layouts: dict[tuple[str, ...] | int, list[str]] = {}
+    for row in lines.select("file", tokens.alias("tokens"), F.exists(
+            tokens, lambda t: (t != "") & t.try_cast("double").isNull()).alias("header")).collect():
+        layouts.setdefault(tuple(row.tokens) if row.header else len(row.tokens), []).append(row.file)
+    return layouts
 
 
 def read_channel(spark: SparkSession, path: str) -> DataFrame:
     """Header-detecting CSV read of a training channel, all columns as double.
 
-    Reads the first line of the first file (one small job) to decide on the
-    header; all files of the directory are then read with an explicit schema.
-    Headerless columns are named ``_c0, _c1, ...`` (``_c0`` is the label).
+    Files whose headers list the same names in another order are read by name.
+    Columns of files without header are ``_c0, _c1, ...`` (``_c0`` is the label).  A
+    channel whose files disagree otherwise raises.
     """
-    files = csv_files(spark, path)
-    has_header, tokens = first_line_is_header(spark, first_data_file(spark, files))
-    names = [t.strip() for t in tokens] if has_header else [f"_c{i}" for i in range(len(tokens))]
-    schema = T.StructType([T.StructField(n, T.DoubleType(), True) for n in names])
-    return spark.read.option("header", str(has_header).lower()).schema(schema).csv(files)
+    layouts = channel_layouts(spark, csv_files(spark, path))
+    kinds = {k if isinstance(k, int) else tuple(sorted(k)) for k in layouts}
+    if len(kinds) > 1:
+        raise ValueError(f"files of {path!r} have different columns: {sorted(map(str, kinds))}")
+    parts = []
+    for layout, files in sorted(layouts.items(), key=lambda x: x[1]):
+        names = [f"_c{i}" for i in range(layout)] if isinstance(layout, int) else list(layout)
+        schema = T.StructType([T.StructField(n, T.DoubleType(), True) for n in names])
+        parts.append(spark.read.option("header", str(not isinstance(layout, int)).lower()).schema(schema).csv(files))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # Candidate types for inference, narrowest first (fixed order).
 _INFER_ORDER = ["bigint", "double", "boolean", "timestamp_ntz"]
 
 
+def _fits(v: Column, kind: str) -> Column:
+    """Whether text casts to ``kind`` and loses nothing: no leading zeros, no overflow to infinity."""
+    cast = v.try_cast(kind)
+    fits = cast.isNotNull()
+    if kind in ("bigint", "double"):
+        fits = fits & ~v.rlike(r"^[+-]?0[0-9]")
+    if kind == "double":
+        fits = fits & ((F.abs(cast) < float("inf")) | F.isnan(cast) | v.rlike(r"(?i)^[+-]?inf(inity)?$"))
+    return fits
+
+
 def infer_types(df: DataFrame, sample_fraction: float | None = None, seed: int = 42) -> dict[str, str]:
     """S8 (part 1): per string column, the narrowest type every non-null value casts to.
 
@@ -122,7 +127,7 @@ def infer_types(df: DataFrame, sample_fraction: float | None = None, seed: int =
     for c in strings:
         v = F.trim(F.col(c))
         for t in _INFER_ORDER:
-            bad = (v.isNotNull() & (v != "") & v.try_cast(t).isNull()).cast("long")
+            bad = (v.isNotNull() & (v != "") & ~_fits(v, t)).cast("long")
             aggs.append(F.sum(bad).alias(f"{c}__{t}"))
     row = src.agg(*aggs).first()
     out = {}
@@ -132,8 +137,16 @@ def infer_types(df: DataFrame, sample_fraction: float | None = None, seed: int =
 
 
 def infer_and_cast(df: DataFrame, sample_fraction: float | None = None) -> DataFrame:
-    """Infer types (one job) then cast with ``try_cast`` (values that do not fit become null)."""
+    """Infer types (one job), then cast.
+
+    A sample only proposes types: a second job over all rows widens to text every
+    column in which a value does not fit, so no value is lost.  Empty text becomes null.
+    """
     types = infer_types(df, sample_fraction)
+    if sample_fraction and types:
+        misfits = df.agg(*[F.count_if((F.trim(c) != "") & ~_fits(F.trim(c), t)).alias(c)
+                           for c, t in types.items() if t != "string"] or [F.lit(0).alias("_")]).first().asDict()
+        types = {c: "string" if misfits.get(c) else t for c, t in types.items()}
     return df.select(*[
         F.trim(F.col(c)).try_cast(types[c]).alias(c) if types.get(c, "string") != "string" else F.col(c)
         for c in df.columns])

@@ -28,19 +28,20 @@ def stream_enriched(spark: SparkSession, trips_dir: str, schema: T.StructType, z
 
 
 def run_available_now(spark: SparkSession, trips_dir: str, schema: T.StructType, zones: DataFrame,
-                      out_dir: str, checkpoint_dir: str, timeout_s: int = 600,
+                      out_dir: str, checkpoint_dir: str, timeout_s: int | None = None,
                       max_files_per_trigger: int = 1000) -> DataFrame:
     """Process all files present once (``availableNow``), write Parquet, return the written table.
 
     ``max_files_per_trigger`` bounds each micro-batch, so a large backlog is
-    processed in several committed batches rather than one giant one.
+    processed in several committed batches rather than one giant one.  Without
+    ``timeout_s`` the run lasts as long as the backlog does.
     """
     q = (stream_enriched(spark, trips_dir, schema, zones, max_files_per_trigger=max_files_per_trigger)
          .writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start(out_dir))
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
+    finished = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination()
+    if finished is False:
         q.stop()
         raise TimeoutError("streaming run did not finish")
     if q.exception() is not None:

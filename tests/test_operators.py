@@ -318,9 +318,11 @@ def test_checked_broadcast_bounds(spark):
 
 
 def test_scale_settings():
-    from farebox.session import MB, scale_settings
+    from farebox.session import MAX_SHUFFLE_PARTITIONS, MB, scale_settings
     big = scale_settings(100 * 1024 ** 4, 8000)  # 100 TB on 1,000 executors x 8 cores
-    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (200 * MB)
+    assert int(big["spark.sql.shuffle.partitions"]) == MAX_SHUFFLE_PARTITIONS
+    mid = scale_settings(20 * 1024 ** 4, 8000)  # sized from the tenth that is shuffled
+    assert int(mid["spark.sql.shuffle.partitions"]) == max(24000, int(20 * 1024 ** 4 * 0.1) // (200 * MB))
     small = scale_settings(10 * MB, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
 
