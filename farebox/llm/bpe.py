@@ -139,6 +139,7 @@ class Codec:
         self.split = regex.compile(self.pattern).findall
         self.rank = {self.tokens[i]: i for i in self.ids}
         self.inner: dict[str, tuple[int, ...]] = {}   # chunk that follows a space -> ids with that space
+        self.merged: dict[bytes, tuple[int, ...]] = {}   # pre-token -> ids
 
     def __getstate__(self):
         return {"tokens": self.tokens, "pattern": self.pattern, "ids": self.ids, "known": self.known}
@@ -149,29 +150,41 @@ class Codec:
 
     def _resolve(self, texts: list[str]) -> list[tuple[int, ...]]:
         pieces = [[p.encode() for p in self.split(t)] for t in texts]
-        new = list(set(itertools.chain.from_iterable(pieces)))
-        found: dict[bytes, tuple[int, ...]] = {}
+        found = self.merged
+        new = list(set(itertools.chain.from_iterable(pieces)).difference(found))
         if new:
             for piece, k in zip(new, self.known.candidates(new).tolist()):
                 token = self.ids[k]
                 found[piece] = (token,) if self.tokens[token] == piece else merge_bytes(piece, self.rank)
         return [tuple(itertools.chain.from_iterable([found[p] for p in ps])) for ps in pieces]
 
-    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of each text (null: none)."""
+    def _parts(self, texts: list[str | None]) -> tuple[list[list[str]], dict[str, tuple[int, ...]]]:
+        """Chunks of each text, all of them resolved: the first in the returned table, the others in ``inner``."""
         if len(self.inner) > MEMO_CHUNKS:
             self.inner = {}
+        if len(self.merged) > MEMO_CHUNKS:
+            self.merged = {}
         parts = [[t or ""] if not t or _WIDE_GAP.search(t) else t.split(" ") for t in texts]
         missing = list(set(itertools.chain.from_iterable(p[1:] for p in parts)).difference(self.inner))
         for at in range(0, len(missing), 65536):
             some = missing[at:at + 65536]
             self.inner.update(zip(some, self._resolve([" " + c for c in some])))
         heads = list({p[0] for p in parts})
-        solo = dict(zip(heads, self._resolve(heads)))
+        return parts, dict(zip(heads, self._resolve(heads)))
+
+    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
+        """Ids of each text (null: none)."""
+        parts, solo = self._parts(texts)
         lookup = self.inner.__getitem__
         return [[*solo[p[0]], *itertools.chain.from_iterable(map(lookup, p[1:]))]
                 for p in parts]
 
+    def count_batch(self, texts: list[str | None]) -> list[int]:
+        """Number of ids of each text."""
+        parts, solo = self._parts(texts)
+        lookup = self.inner.__getitem__
+        return [len(solo[p[0]]) + sum(map(len, map(lookup, p[1:]))) for p in parts]
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
@@ -216,7 +229,6 @@ def token_counts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batch):
         texts = batch.column("text").to_pylist()
-        return {"n_tokens": [len(ids) for at in range(0, len(texts), 64)
-                             for ids in shared.value.encode_batch(texts[at:at + 64])]}
+        return {"n_tokens": [n for at in range(0, len(texts), 64) for n in shared.value.count_batch(texts[at:at + 64])]}
 
     return map_columns(docs.select("text"), run, "n_tokens long")

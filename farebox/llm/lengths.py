@@ -13,13 +13,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from farebox.llm.bpe import token_counts
+from farebox.llm.common import materialize
 
 RANGE = 1024
 
 
 def length_histogram(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(n_tokens, n_docs): documents of each encoded length."""
-    return token_counts(docs, path, pattern).groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    counts = token_counts(docs, path, pattern).groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    return materialize(counts, "length_histogram")  # both levels of sums read it
 
 
 def limits(histogram: DataFrame) -> DataFrame:
