@@ -54,25 +54,37 @@ def with_event_time(df: DataFrame, load_ts: float, name: str = "event_time") ->
 
 
 def validate_group(df: DataFrame, record_id: str, event_time: str) -> DataFrame:
-    """M5 guard: both required columns exist and are never null (one aggregate job)."""
+    """M5 guard: both required columns exist and are never null.
+
+    The null check is part of the plan (no pass of its own): the job that reads
+    or writes the result fails at a record without id or event time.
+    """
     for c in (record_id, event_time):
         if c not in df.columns:
             raise ValueError(f"feature group needs column {c!r}")
     feature_definitions(df)
-    bad = df.agg(F.sum((F.col(record_id).isNull() | F.col(event_time).isNull()).cast("long")).alias("b")).first()["b"]
-    if bad:
-        raise ValueError(f"{bad} records lack a record id or event time")
-    return df
+    return df.withColumns({
+        c: F.coalesce(F.col(c), F.raise_error(F.lit(f"a record lacks {c}")).cast(df.schema[c].dataType))
+        for c in (record_id, event_time)})
 
 
 def ingest(df: DataFrame, path: str, record_id: str = "trip_id", event_time: str = "event_time") -> str:
-    """M5 / K8: validate, then append to the offline store partitioned by event date."""
-    validate_group(df, record_id, event_time)
-    out = df.withColumn("event_date", F.to_date(F.timestamp_seconds(F.col(event_time))))
+    """M5 / K8: append to the offline store partitioned by event date, validated during the write."""
+    out = validate_group(df, record_id, event_time)
+    out = out.withColumn("event_date", F.to_date(F.timestamp_seconds(F.col(event_time))))
     out.write.mode("append").partitionBy("event_date").parquet(path)
     return path
 
 
+def described_features(df: DataFrame) -> DataFrame:
+    """M4 with data: (feature_name, feature_type, n_values) per column, non-null values counted in one aggregate."""
+    kinds = feature_definitions(df)
+    counts = df.agg(*[F.count(F.col(name)).alias(name) for name, _ in kinds])
+    rows = F.array(*[F.struct(F.lit(name).alias("feature_name"), F.lit(kind).alias("feature_type"),
+                              F.col(name).alias("n_values")) for name, kind in kinds])
+    return counts.select(F.inline(rows))
+
+
 def latest_records(df: DataFrame, record_id: str, event_time: str) -> DataFrame:
     """M6: the newest row per record id; ties on event time broken by the other columns.
 

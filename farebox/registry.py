@@ -1062,3 +1062,76 @@ def q_m8p(spark, d):
     auc = A.auc(scored, "high_tip").select((F.col("auc") > 0.5).alias("beats_base_rate"))
     counts = scored.agg(F.count("*").alias("rows"), F.count_if(F.col("score").between(0, 1)).alias("scores_in_range"))
     return counts.join(F.broadcast(auc))
+
+
+# ------------------------------------------------------------------ K5, K10, M4, fractional durations, NaN rows
+
+@register("k5_feature_order", with_ctes("""
+    SELECT row_number() OVER (ORDER BY grp, name) - 1 AS position, name AS feature FROM (
+        SELECT 10 + list_position(['trip_distance', 'trip_duration_min', 'trip_speed_mph', 'pickup_hour',
+                                   'passenger_count', 'fare_amount', 'is_airport_trip'], c) AS grp, c AS name
+        FROM (SELECT unnest(['trip_distance', 'trip_duration_min', 'trip_speed_mph', 'pickup_hour',
+                             'passenger_count', 'fare_amount', 'is_airport_trip']) AS c)
+        UNION ALL
+        SELECT 20, 'trip_distance_bucket_' || v FROM (SELECT DISTINCT trip_distance_bucket AS v FROM ds_a_card)
+        WHERE v > (SELECT min(trip_distance_bucket) FROM ds_a_card)
+        UNION ALL
+        SELECT 30, 'pickup_borough_' || v FROM (SELECT DISTINCT pickup_borough AS v FROM ds_a_card)
+        WHERE v > (SELECT min(pickup_borough) FROM ds_a_card))""", "ds_a_card"))
+def q_k5(spark, d):
+    """The feature order of dataset A, whose category columns come from the data, written and read back."""
+    names = [c for c in dataset_a(spark, d).columns if c not in ("trip_key", "split", M.LABEL)]
+    path = WR.write_lines(spark, names, scratch_path(spark, "feature_order"))
+    return (spark.read.text(path, wholetext=True)
+            .select(F.posexplode(F.split(F.rtrim("value", F.lit("\n")), "\n")).alias("position", "feature"))
+            .select(F.col("position").cast("long").alias("position"), "feature"))
+
+
+@register("k10_observed_write", with_ctes(
+    "SELECT count(*) AS observed_rows, count(*) AS rows_read, count(DISTINCT pickup_hour) AS partitions FROM enriched",
+    "enriched"))
+def q_k10(spark, d):
+    """The row count observed during the partitioned write, beside what a reader of the table counts."""
+    path = scratch_path(spark, "enriched_observed")
+    seen = WR.write_partitioned(P.build_pipeline(trips(spark, d), zones(spark, d)), path, "pickup_hour")
+    return spark.read.parquet(path).agg(
+        F.lit(int(seen["rows"])).cast("long").alias("observed_rows"), F.count(F.lit(1)).alias("rows_read"),
+        F.count_distinct("pickup_hour").alias("partitions"))
+
+
+# Dataset A's features of integral type; record ids are strings, all others fractional.
+_A_INTEGRAL = ["high_tip", "pickup_hour", "is_airport_trip", *[s for c, s in _A_FEATURE_NAMES if c in A_DUMMY_NAMES]]
+
+
+@register("m4_feature_definitions", with_ctes(
+    " UNION ALL ".join(
+        f"SELECT '{s}' AS feature_name, '{'Integral' if s in _A_INTEGRAL else 'Fractional'}' AS feature_type, "
+        f"count(\"{c}\") AS n_values FROM ds_a WHERE split = 'train'" for c, s in _A_FEATURE_NAMES)
+    + " UNION ALL SELECT 'trip_id', 'String', count(trip_key) FROM ds_a WHERE split = 'train'"
+      " UNION ALL SELECT 'event_time', 'Fractional', count(*) FROM ds_a WHERE split = 'train'", "ds_a"))
+def q_m4(spark, d):
+    return FS.described_features(_feature_rows(spark, d))
+
+
+@register("p3b_sub_second_durations", """
+    SELECT event_id, CAST(epoch_us(ts) - epoch_us(date_trunc('day', ts)) AS DOUBLE) / 60000000.0 AS minutes,
+           CAST(epoch_us(ts) - epoch_us(date_trunc('day', ts)) AS DOUBLE) / 60000000.0
+             > floor((epoch_us(ts) - epoch_us(date_trunc('day', ts))) / 1000000) / 60.0 AS has_fraction
+    FROM events""")
+def q_p3b_events(spark, d):
+    """Minutes since midnight of events, whose times carry microseconds; the whole-second rule (P3) would lose them."""
+    events = X.table(spark, d, "events").withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    events = events.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    exact, whole = C.duration_minutes_exact("day", "ts"), C.duration_minutes("day", "ts")
+    return events.select("event_id", exact.alias("minutes"), (exact > whole).alias("has_fraction"))
+
+
+@register("f7b_complete_cases_nan", with_ctes(
+    "SELECT trip_key, trip_distance, tip_amount FROM trips "
+    "WHERE tip_amount IS NOT NULL AND trip_key IS NOT NULL AND trip_distance > 0", "trips"))
+def q_f7b(spark, d):
+    """Complete cases over a column with NaN (zero distances, marked so) and one with nulls."""
+    marked = trips(spark, d).select(
+        "trip_key", F.when(F.col("trip_distance") == 0, F.lit(float("nan"))).otherwise(F.col("trip_distance"))
+        .alias("trip_distance"), "tip_amount")
+    return CL.complete_cases(marked)

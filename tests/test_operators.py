@@ -196,8 +196,13 @@ def test_feature_definitions_and_ingest(spark, tmp_path):
     latest = FS.latest_records(back.drop("event_date"), "trip_id", "event_time").first()
     assert latest["x"] == 2.0
     bad = spark.createDataFrame([(None, 1.0)], "trip_id string, event_time double")
-    with pytest.raises(ValueError):
-        FS.validate_group(bad, "trip_id", "event_time")
+    with pytest.raises(Exception, match="a record lacks trip_id"):
+        FS.validate_group(bad, "trip_id", "event_time").collect()
+    with pytest.raises(ValueError, match="needs column"):
+        FS.validate_group(bad.drop("event_time"), "trip_id", "event_time")
+    described = {tuple(r) for r in FS.described_features(rows.unionByName(rows)).collect()}
+    assert described == {("trip_id", "String", 2), ("x", "Fractional", 2), ("n", "Integral", 2), ("s", "String", 2),
+                         ("event_time", "Fractional", 2)}
 
 
 def test_frame_difference(spark):
