@@ -161,18 +161,37 @@ def distinct_categories(df: DataFrame, columns: list[str], max_categories: int =
 def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
     """One row per column: non-null count, null count, distinct count, min, max (as text).
 
-    All statistics of all columns come from a single aggregate job; the wide
-    result is turned long with ``stack``.
+    Counts and bounds of all columns come from a single aggregate job; the wide
+    result is turned long with ``stack``.  The exact distinct count is one more
+    pass over (column, value) pairs, deduplicated inside each task first: several
+    ``count(DISTINCT)`` in one aggregate would copy every whole row per column.
     """
     aggs = []
     for c in df.columns:
         col = F.col(c)
-        nd = F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col)
-        aggs += [F.count(col).alias(f"{c}__nn"), F.sum(col.isNull().cast("long")).alias(f"{c}__nul"),
+        nd = F.lit(None).cast("long") if exact_distinct else F.approx_count_distinct(col)
+        aggs += [F.count(col).alias(f"{c}__nn"), F.count_if(col.isNull()).alias(f"{c}__nul"),
                  nd.alias(f"{c}__nd"), F.min(col).cast("string").alias(f"{c}__min"),
                  F.max(col).cast("string").alias(f"{c}__max")]
     wide = df.agg(*aggs)
     parts = ", ".join(
         f"'{c}', `{c}__nn`, `{c}__nul`, `{c}__nd`, `{c}__min`, `{c}__max`" for c in df.columns)
-    return wide.selectExpr(
+    out = wide.selectExpr(
         f"stack({len(df.columns)}, {parts}) AS (column_name, non_null, nulls, distinct_values, min_value, max_value)")
+    return out if not exact_distinct else out.drop("distinct_values").join(
+        distinct_counts(df), "column_name", "left").select(
+        "column_name", "non_null", "nulls", F.coalesce("distinct_values", F.lit(0).cast("long")).alias("distinct_values"),
+        "min_value", "max_value")
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """``(column_name, distinct_values)``: non-null distinct values per column that has any."""
+    def text(name: str, dtype: str):
+        col = F.col(name)
+        if dtype == "binary":
+            return F.hex(col)
+        return (col + F.lit(0.0) if dtype in ("float", "double") else col).cast("string")  # -0.0 equals 0.0
+
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), text(c, t).alias("v")) for c, t in df.dtypes])).alias("p")
+    values = df.select(pairs).where("p.v IS NOT NULL").groupBy("p.c", "p.v").agg(F.count(F.lit(1)))
+    return values.groupBy(F.col("c").alias("column_name")).agg(F.count(F.lit(1)).alias("distinct_values"))

@@ -5,9 +5,9 @@ The reference hands rows to a managed Kernel SHAP job that calls the model
 so each feature's attribution is a fixed linear combination of the scores of
 the coalitions: ``phi_i(x) = sum_k coef[i, k] * f(mix(x, baseline, z_k))``.
 
-* ``p <= exact_max_features``: all ``2^p`` coalitions with the exact Shapley
+* without ``num_samples``: all ``2^p`` coalitions with the exact Shapley
   weights (``+w(|S|-1)`` if i in S else ``-w(|S|)``, ``w(s)=s!(p-s-1)!/p!``).
-* larger ``p``: ``num_samples`` seeded coalitions plus the empty and full ones,
+* with it: ``num_samples`` seeded coalitions plus the empty and full ones,
   with the kernel-weighted least-squares solution under the sum constraint;
   the ``p x m`` coefficient matrix depends only on the coalitions and is solved
   once on the driver with numpy.
@@ -90,13 +90,13 @@ def kernel_coefficients(p: int, num_samples: int, seed: int = 42) -> tuple[np.nd
     return masks, coef
 
 
-def coalition_plan(p: int, num_samples: int | None = None, exact_max_features: int = 10,
-                   seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
-    if p <= exact_max_features or num_samples is None:
-        if p > 16:
-            raise ValueError("exact Shapley values need 2^p coalitions; pass num_samples for p > 16")
-        return exact_coefficients(p)
-    return kernel_coefficients(p, num_samples, seed)
+def coalition_plan(p: int, num_samples: int | None = None, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """Exact coalitions where ``num_samples`` is None, else that many sampled ones, whatever the number of features."""
+    if num_samples is not None:
+        return kernel_coefficients(p, num_samples, seed)
+    if p > 16:
+        raise ValueError("exact Shapley values need 2^p coalitions; pass num_samples for p > 16")
+    return exact_coefficients(p)
 
 
 def column_means(df: DataFrame, features: list[str]) -> list[float]:

@@ -413,10 +413,10 @@ def q_a6(spark, d):
 
 @register("a7_profile", with_ctes(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count({c}) AS non_null, CAST(count(*) - count({c}) AS BIGINT) AS nulls, "
-    f"count(DISTINCT {c}) AS distinct_values FROM trips" for c in X.RAW_TRIP_COLUMNS), "trips"))
+    f"count(DISTINCT {c}) AS distinct_values, CAST(min({c}) AS VARCHAR) AS min_value, "
+    f"CAST(max({c}) AS VARCHAR) AS max_value FROM trips" for c in X.RAW_TRIP_COLUMNS), "trips"))
 def q_a7(spark, d):
-    return A.profile(trips(spark, d), exact_distinct=True).select(
-        "column_name", "non_null", "nulls", "distinct_values")
+    return A.profile(trips(spark, d).select(*X.RAW_TRIP_COLUMNS), exact_distinct=True)
 
 
 @register("a11_split_counts", with_ctes("SELECT split, count(*) AS rows FROM ds_b GROUP BY split", "ds_b"))
@@ -429,10 +429,9 @@ def q_a11(spark, d):
     UNION ALL SELECT DISTINCT 'pickup_borough', pickup_borough FROM enriched WHERE pickup_borough IS NOT NULL""",
     "enriched"))
 def q_a12(spark, d):
-    e = enriched(spark, d)
-    parts = [e.where(F.col(c).isNotNull()).select(F.lit(c).alias("column_name"), F.col(c).alias("value")).distinct()
-             for c in M.CATEGORICAL]
-    return U.append_all(parts)
+    found = A.distinct_categories(enriched(spark, d), M.CATEGORICAL)
+    return spark.createDataFrame([(c, v) for c, values in found.items() for v in values],
+                                 "column_name string, value string")
 
 
 # ------------------------------------------------------------------ sampling / limits L2, L5, L6
@@ -858,6 +857,37 @@ def q_m17d(spark, d):
     return _round_doubles(EX.mean_abs(phis, M.FIXED_FEATURES))
 
 
+_A_FEATURES = [*B_FEATURES, *A_DUMMY_NAMES]
+# Our own fixed weights for the attributions of dataset A (one per feature, in order).
+_A_WEIGHTS = [round(0.1 * (-1) ** i / (i + 1), 4) for i in range(len(_A_FEATURES))]
+
+
+def _linear_score(xs):
+    return sum((F.lit(w) * x.cast("double") for w, x in zip(_A_WEIGHTS, xs)), F.lit(0.0))
+
+
+@register("m17e_kernel_shap_linear_dataset_a", with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(avg(abs({w!r} * (\"{c}\" - (SELECT avg(\"{c}\") FROM ds_a WHERE split = 'test')))), 8) "
+    "AS mean_abs FROM ds_a WHERE split = 'test'" for c, w in zip(_A_FEATURES, _A_WEIGHTS)), "ds_a"))
+def q_m17e(spark, d):
+    """Sampled kernel SHAP over dataset A's features from their means; a linear score has w * (x - mean) as its values."""
+    test = M.split_of(dataset_a(spark, d), "test")
+    phis = EX.attributions(test, _A_FEATURES, _linear_score, num_samples=MF.SHAP_SAMPLES_NO_BASELINE, keep=["trip_key"])
+    return _round_doubles(EX.mean_abs(phis, _A_FEATURES), 8)
+
+
+@register("m17f_kernel_shap_totals_dataset_a", with_ctes(
+    "SELECT count(*) AS rows, count(*) AS totals_met FROM ds_a WHERE split = 'test'", "ds_a"))
+def q_m17f(spark, d):
+    """Sampled kernel SHAP of a logistic score: every row's attributions add up to score - base score."""
+    test = M.split_of(dataset_a(spark, d), "test")
+    phis = EX.attributions(test, _A_FEATURES, EX.logistic_score(0.2, _A_WEIGHTS),
+                           num_samples=MF.SHAP_SAMPLES_NO_BASELINE, keep=["trip_key"])
+    total = sum((F.col(f"`phi_{c}`") for c in _A_FEATURES), F.lit(0.0))
+    met = F.abs(total - (F.col("score") - F.col("base_score"))) < 1e-9
+    return phis.agg(F.count(F.lit(1)).alias("rows"), F.count_if(met).alias("totals_met"))
+
+
 # ------------------------------------------------------------------ streaming
 
 @register("st1_stream_canonical_available_now", with_ctes("SELECT * FROM enriched", "enriched"))
@@ -1058,12 +1088,47 @@ def q_l6p(spark, d):
 def q_m8p(spark, d):
     """The fitted model scores every training row within [0, 1] and ranks them better than a constant."""
     model, train, _, _ = _job_model(spark, d)
-    scored = L.score(model, train)
+    return _fit_properties(L.score(model, train))
+
+
+def _fit_properties(scored):
     auc = A.auc(scored, "high_tip").select((F.col("auc") > 0.5).alias("beats_base_rate"))
     counts = scored.agg(F.count("*").alias("rows"), F.count_if(F.col("score").between(0, 1)).alias("scores_in_range"))
     return counts.join(F.broadcast(auc))
 
 
+def _a_splits(spark, d):
+    """Dataset A's train, validation and test rows with plain feature names and without the key."""
+    ds = CL.sanitize_columns(dataset_a(spark, d).drop("trip_key"))
+    return tuple(M.split_of(ds, s) for s in SPLITS)
+
+
+def _job_model_a(spark, d):
+    """The training job over the one-hot table (dataset A)."""
+    train, _, _ = _a_splits(spark, d)
+    return _artifact(spark, d, "job_model_a", lambda: L.train_gbt(
+        train, "high_tip", L.Hyperparameters(**L.JOB_HYPERPARAMETERS)))
+
+
+@register("m8d_gbt_dataset_a")
+def q_m8d(spark, d):
+    return L.score(_job_model_a(spark, d), _a_splits(spark, d)[2])
+
+
+@register("m8q_gbt_dataset_a_properties", with_ctes(
+    "SELECT count(*) AS rows, count(*) AS scores_in_range, true AS beats_base_rate FROM ds_a WHERE split = 'train'",
+    "ds_a"))
+def q_m8q(spark, d):
+    """As ``m8p_gbt_properties``, on dataset A."""
+    return _fit_properties(L.score(_job_model_a(spark, d), _a_splits(spark, d)[0]))
+
+
+@register("m19b_candidates_dataset_a")
+def q_m19b(spark, d):
+    train, val, _ = _a_splits(spark, d)
+    return R.leaderboard(L.rank_candidates(spark, train, val, "high_tip"))
+
+
 # ------------------------------------------------------------------ K5, K10, M4, fractional durations, NaN rows
 
 @register("k5_feature_order", with_ctes("""

@@ -146,6 +146,13 @@ def test_shap_exact_matches_definition_and_sums(spark):
         assert got.sum() == pytest.approx(r["score"] - r["base_score"], abs=1e-12)
 
 
+def test_coalition_plan_follows_num_samples():
+    assert len(X.coalition_plan(7)[0]) == 128
+    assert len(X.coalition_plan(7, num_samples=50)[0]) == 52 and len(X.coalition_plan(20, num_samples=100)[0]) == 102
+    with pytest.raises(ValueError):
+        X.coalition_plan(20)
+
+
 def test_kernel_shap_coefficients_close_to_exact():
     p = 6
     masks_e, coef_e = X.exact_coefficients(p)
@@ -271,6 +278,11 @@ def test_profile(spark):
     got = {r["column_name"]: (r["non_null"], r["nulls"], r["distinct_values"])
            for r in A.profile(df, exact_distinct=True).collect()}
     assert got == {"x": (2, 1, 2), "s": (2, 1, 1)}
+    odd = spark.createDataFrame([(None, 0.0), (None, -0.0), (None, float("nan"))], "empty string, d double")
+    got = {r["column_name"]: (r["non_null"], r["nulls"], r["distinct_values"], r["min_value"])
+           for r in A.profile(odd, exact_distinct=True).collect()}
+    assert got["empty"] == (0, 3, 0, None) and got["d"][:3] == (3, 0, 2)
+    assert "Expand" not in A.profile(odd, exact_distinct=True)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_one_hot_rows_sum_at_most_one(spark):
