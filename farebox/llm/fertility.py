@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm.common import map_columns, materialize
+from farebox.operators.enrich import checked_broadcast
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -160,11 +161,16 @@ def judge(measured: DataFrame) -> DataFrame:
         at = F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))
         return passed.groupBy(*keys).agg(F.count("*").alias("n"), *[F.percentile_approx(m, at).alias(m) for m in BANDS])
 
-    both = ["grp", "size_class"]
-    cell, group = bands(*both).where(F.col("n") >= MIN_GROUP), bands("grp").where(F.col("n") >= MIN_GROUP)
+    def written(prefix, *keys):
+        """Bands of the large enough groups, written once; broadcast while their measured size is small, so
+        that the documents of a frequent language need not meet."""
+        large = bands(*keys).where(F.col("n") >= MIN_GROUP)
+        table = materialize(large.select(*keys, *[F.col(m).alias(f"{prefix}_{m}") for m in BANDS]), f"bands_{prefix}")
+        return checked_broadcast(table, "grp", require_unique=False)[0]
+
     common = {m: v for m, v in bands().first().asDict().items() if m in BANDS}
-    df = (df.join(cell.select(*both, *[F.col(m).alias(f"c_{m}") for m in BANDS]), both, "left")
-          .join(group.select("grp", *[F.col(m).alias(f"g_{m}") for m in BANDS]), "grp", "left"))
+    df = (df.join(written("c", "grp", "size_class"), ["grp", "size_class"], "left")
+          .join(written("g", "grp"), "grp", "left"))
     inside = F.lit(True)
     for m, (low, high, least) in BANDS.items():
         known = common[m] if common[m] is not None else [0.0, 0.0, 0.0]

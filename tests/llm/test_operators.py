@@ -155,6 +155,12 @@ def test_quality_bands_reject_junk_and_keep_prose(spark, pieces):
     assert sum(got[i] for i in range(400) if i % 20) > 0.97 * 380
 
 
+def test_quality_bands_do_not_shuffle_documents(spark, pieces):
+    df = spark.createDataFrame([(1, "some words", "en")], "doc_id long, text string, lang string")
+    plan = fertility.quality(df, pieces, RANKS, tokenizers.PATTERN)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
 def test_quality_odd_rows(odd, empty, pieces):
     rows = fertility.quality(odd, pieces, RANKS, tokenizers.PATTERN).collect()
     assert len(rows) == odd.count()
