@@ -2,24 +2,30 @@
 
 A classifier learnt from the labelled table gives every document a soft
 membership in the domains.  With a[d] = tokens(d) * membership(d), nonnegative
-document rates r are fitted by projected gradient on
+document rates r minimise
 
     1/2 sum_j (sum_d r[d] a[d, j] - T[j])^2 / (A[j] N)  +  mu/2 sum_d s[d] (r[d] - 1)^2
 
-where T are the target token totals, A the present ones, N their sum and s[d]
-the document's share of N.  So scaled, the problem's curvature in the metric of
-s is at most 1 + mu whatever the domains' sizes, which gives the step.  The
-small mu only picks the rates nearest to 1 among those that meet the targets.
-Memberships are computed once and written; a step is one pass over
-that table in Arrow batches.  A rate is a function of the document's own a[d]
-and the gradients so far (one number per domain and step), so tasks replay
-the steps, nothing per document is kept between them, and a lost
+where T are the goals (target token totals), A the present ones, N their sum and
+s[d] the document's share of N; the small mu only picks the rates nearest to 1
+among those that meet the goals.  At the minimum r[d] = max(0, 1 - m[d] . x), m[d]
+being the document's membership, with one number x[j] = (reached[j] - T[j]) / (mu A[j])
+per domain.  These are found by a damped Newton method on the convex dual: one
+pass over the written memberships in Arrow batches gives value, gradient and
+curvature for some x.  It ends where the gradient, which is what is missing of the
+goals beside the pull of mu, is under ``TOLERANCE`` of every domain's tokens, and
+raises if that is not reached.  A rate is a function of the document's own
+membership and x, so nothing per document is kept between passes, and a lost
 executor costs only its own batches.
+
+A domain that hardly occurs cannot be brought up to its target without repeating
+its few documents many times.  ``goals_of`` says what such domains get instead.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 import zlib
 
 import numpy as np
@@ -36,8 +42,13 @@ from farebox.llm.common import bound_batches, map_columns, materialize, words
 TARGETS = {"prose": 0.92, "junk": 0.07, "toxic": 0.01}
 LABELLED_ROWS = 12_000     # expected bound of the labelled sample the classifier is fitted on
 WORD_BUCKETS = 4096
-STEPS = 30
 MU = 1e-3
+TOLERANCE = 1e-6           # of a domain's tokens: where the fit ends
+MAX_PASSES = 100           # bound of passes, beyond which the fit fails (5 to 10 are usual)
+# A domain grows to its target if its present share is at least SCARCE of it (so by 1 / SCARCE at most); at
+# ABSENT of it or less it has no goal; in between the growth allowed falls linearly to 1.
+SCARCE, ABSENT = 0.25, 0.05
+MISSED = 0.02              # a share further than this from its goal (relative) is warned of
 MEMO_WORDS = 300_000
 
 
@@ -153,49 +164,102 @@ def membership(docs: DataFrame, model: DomainModel) -> DataFrame:
 
 
 class RateModel:
-    """Rates as a replay of accelerated projected-gradient steps."""
+    """Rates of documents from their membership and one multiplier per domain."""
+
+    def __init__(self, goals: np.ndarray):
+        self.goals = goals                      # token totals wanted; nan: no goal, the domain hardly occurs
+        self.multipliers = np.zeros(len(goals))
+        self.reached = np.zeros(len(goals))     # token totals after the fit
 
-    def __init__(self, goals: np.ndarray, mu: float):
-        self.goals, self.mu, self.step = goals, mu, 1 / (1 + mu)
-        self.gradients: list[np.ndarray] = []
+    def rates(self, member: np.ndarray) -> np.ndarray:
+        return np.maximum(0.0, 1.0 - member @ self.multipliers)
 
-    def rates(self, member: np.ndarray, ahead: bool = False) -> np.ndarray:
-        """Rates after all steps so far (``ahead``: the extrapolated point where the next gradient is taken)."""
-        r = y = np.ones(len(member))
-        for t, g in enumerate(self.gradients):
-            moved = np.maximum(0.0, y - self.step * (member @ g + self.mu * (y - 1)))
-            y = moved + t / (t + 3.0) * (moved - r)
-            r = moved
-        return y if ahead else r
 
+def goals_of(totals: np.ndarray, targets: dict[str, float] = TARGETS) -> np.ndarray:
+    """Token totals wanted per domain, given the present ``totals``; nan where a domain hardly occurs.
 
-def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, steps: int = STEPS, mu: float = MU) -> RateModel:
-    """Fit rates so that expected domain token totals meet the target shares of the present total."""
+    The targets are shares of the present total.  A domain present with less than
+    ``SCARCE`` of its target may grow less than to it, and one with ``ABSENT`` of it or
+    less keeps what it has without a goal of its own; the others share the rest in
+    proportion to their targets (so they may become scarce in turn).
+    """
+    weight = np.array(list(targets.values()), dtype=float)
+    weight = weight / weight.sum()
+    tokens = totals.sum()
+    fixed = np.full(len(weight), np.nan)        # token totals of scarce domains
+    absent = np.zeros(len(weight), dtype=bool)
+    while True:
+        free = np.isnan(fixed)
+        left = max(0.0, tokens - fixed[~free].sum())
+        share = weight[free].sum()
+        wanted = np.where(free, left * weight / share if share > 0 else 0.0, fixed)
+        scarce = free & (totals < SCARCE * wanted)
+        if not scarce.any():
+            wanted[absent] = np.nan
+            return wanted
+        ratio = totals[scarce] / wanted[scarce]
+        growth = 1 + (1 / SCARCE - 1) * np.clip((ratio - ABSENT) / (SCARCE - ABSENT), 0, 1)
+        fixed[scarce] = np.minimum(growth * totals[scarce], wanted[scarce])
+        absent[scarce] = ratio <= ABSENT
+
+
+def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, mu: float = MU) -> RateModel:
+    """Fit rates so that expected domain token totals meet the goals (``goals_of``)."""
     spark = members.sparkSession
     k = len(targets)
     sums = members.select("n_tokens", *[(F.col("n_tokens") * F.col("member")[j]).alias(f"a{j}") for j in range(k)])
     row = sums.agg(F.sum("n_tokens"), *[F.sum(f"a{j}") for j in range(k)]).first()
     tokens = float(row[0] or 0)
     totals = np.array([float(x or 0) for x in row[1:]])
-    weight = np.array(list(targets.values()))
-    goals = tokens * weight / weight.sum()
-    scale = np.maximum(totals, 1e-9 * max(tokens, 1.0))
-    model = RateModel(goals, mu)
+    model = RateModel(goals_of(totals, targets))
     if not tokens:
         return model
-    for _ in range(steps):
-        shared = spark.sparkContext.broadcast(model)
+    used = ~np.isnan(model.goals) & (totals > 0)
+    goals = np.where(used, model.goals, 0.0)
+    enough = TOLERANCE * np.maximum(np.maximum(goals, totals), 1e-4 * tokens)
+
+    def passed(x):
+        """Value of the dual, token totals and curvature at multipliers ``x``."""
+        shared = spark.sparkContext.broadcast(x)
 
         def run(batch):
             n = batch.column("n_tokens").to_numpy(zero_copy_only=False).astype(float)
             m = batch.column("member").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
-            part = (shared.value.rates(m, ahead=True) * n) @ m
-            return {f"s{j}": [float(x)] for j, x in enumerate(part)}
-
-        part = map_columns(members.select("n_tokens", "member"), run, ", ".join(f"s{j} double" for j in range(k)))
-        got = np.array([float(x or 0) for x in part.agg(*[F.sum(f"s{j}") for j in range(k)]).first()])
+            r = np.maximum(0.0, 1.0 - m @ shared.value)
+            inside = n * (r > 0)
+            out = [n @ (r * r) / 2, *((n * r) @ m), *((m * inside[:, None]).T @ m).ravel()]
+            return {f"s{j}": [float(v)] for j, v in enumerate(out)}
+
+        size = 1 + k + k * k
+        part = map_columns(members.select("n_tokens", "member"), run, ", ".join(f"s{j} double" for j in range(size)))
+        got = np.array([float(v or 0) for v in part.agg(*[F.sum(f"s{j}") for j in range(size)]).first()])
         shared.unpersist()
-        model.gradients.append((got - goals) / scale)
+        value = got[0] + goals @ x + mu / 2 * totals @ (x * x)
+        return value, got[1:1 + k], got[1 + k:].reshape(k, k)
+
+    x = model.multipliers
+    value, reached, curved = passed(x)
+    step, length = None, 1.0
+    for _ in range(MAX_PASSES):
+        if step is None:
+            down = np.where(used, reached - goals - mu * totals * x, 0.0)
+            if (np.abs(down) <= enough).all():
+                break
+            step, length = np.zeros(k), 1.0
+            step[used] = np.linalg.solve((curved + mu * np.diag(totals))[np.ix_(used, used)], down[used])
+        tried = x + length * step
+        new = passed(tried)
+        # 1e-12: near the minimum the value's own rounding hides the last decrease
+        if new[0] <= value - 1e-4 * length * (down @ step) + 1e-12 * abs(value):
+            x, (value, reached, curved), step = tried, new, None
+        else:
+            length /= 2
+    else:
+        raise RuntimeError(f"rates not fitted after {MAX_PASSES} passes: token totals {reached}, goals {goals}")
+    model.multipliers, model.reached = x, reached
+    missed = used & (np.abs(reached - goals) > MISSED * np.maximum(goals, 1e-4 * tokens))
+    if missed.any():
+        warnings.warn(f"targets out of reach: token totals {reached.tolist()}, goals {model.goals.tolist()}", stacklevel=2)
     return model
 
 

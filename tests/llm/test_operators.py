@@ -185,6 +185,40 @@ def test_rates_meet_targets(spark):
     assert min(r.rate for r in rows) >= 0
 
 
+def test_rates_where_a_domain_hardly_occurs(spark):
+    rnd = np.random.default_rng(2)
+    p = np.concatenate([rnd.dirichlet([60, 3, 0.01], 1900), rnd.dirichlet([1, 60, 0.01], 100), [[0.0, 0.0, 1.0]]])
+    n = np.append(rnd.integers(50, 500, len(p) - 1), 60)
+    df = spark.createDataFrame([(i, int(a), [float(x) for x in b]) for i, (a, b) in enumerate(zip(n, p))],
+                               "doc_id long, n_tokens long, member array<double>").repartition(4)
+    rows = mixing.rates(df, mixing.fit_rates(df)).collect()
+    total = sum(np.array(r.member) * r.n_tokens * r.rate for r in rows)
+    present = n @ p
+    assert present[2] < 0.05 * 0.01 * n.sum()  # one document of the third domain
+    assert np.allclose(total[:2] / total[:2].sum(), [0.92 / 0.99, 0.07 / 0.99], rtol=0.005)
+    assert total.sum() == pytest.approx(n.sum(), rel=0.005)
+    assert max(r.rate for r in rows) < 2 and next(r.rate for r in rows if r.doc_id == 2000) == pytest.approx(1)
+
+
+def test_rates_meet_targets_of_a_rare_domain(spark):
+    # present with 0.4 % against 1 %: far from the start, which a fixed number of gradient steps does not reach
+    rnd = np.random.default_rng(3)
+    p = np.concatenate([rnd.dirichlet([30, 3, 0.01], 3000), rnd.dirichlet([0.1, 0.1, 30], 12)])
+    n = rnd.integers(50, 500, len(p))
+    df = spark.createDataFrame([(i, int(a), [float(x) for x in b]) for i, (a, b) in enumerate(zip(n, p))],
+                               "doc_id long, n_tokens long, member array<double>").repartition(4)
+    model = mixing.fit_rates(df)
+    assert np.allclose(model.reached / n.sum(), [0.92, 0.07, 0.01], rtol=0.02)
+
+
+def test_goals_have_no_jump():
+    at = [mixing.goals_of(np.array([0.95 - t, 0.05, t]) * 1e6)[2] for t in (0.0026, 0.0025, 0.0024, 0.001, 0.0006)]
+    assert at[0] == pytest.approx(1e4) and at[1] == pytest.approx(1e4) and at[2] == pytest.approx(1e4, rel=0.1)
+    assert at[2:] == sorted(at[2:], reverse=True) and 600 < at[-1] < 4 * 600
+    assert math.isnan(mixing.goals_of(np.array([0.95, 0.05, 0.0004]) * 1e6)[2])
+    assert np.allclose(mixing.goals_of(np.array([10.0, 0.0, 0.0]))[0], 10) and not mixing.goals_of(np.zeros(3))[0]
+
+
 def test_mixing_odd_rows(spark, odd, empty, labels):
     rows = mixing.mix(odd, labels).collect()
     assert len(rows) == odd.count()

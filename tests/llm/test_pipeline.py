@@ -1,10 +1,11 @@
 """The pipeline's stages on the smallest tables and on odd rows."""
 
 import corpus_pipeline
+import numpy as np
 import pytest
 import tiktoken  # noqa: F401  (the stages need the tokenizer files)
 
-from farebox.llm import simhash, toxicity
+from farebox.llm import mixing, simhash, toxicity
 from farebox.llm.common import table
 from farebox.llm.queries import ORACLE, QUERIES
 
@@ -36,6 +37,18 @@ def test_stages_on_documents(spark):
     assert {"doc_id", "n_tokens", "ids"} <= set(ids.columns) and ids.count() > 0
 
 
+def test_mixing_after_toxicity_meets_shares(spark):
+    """Stage 4 on what stage 1 leaves: shares reached, and no document multiplied."""
+    docs = corpus_pipeline.drop_toxic(spark, table(spark, SF, "documents"), SF)
+    rows = mixing.mix(docs, table(spark, SF, "labels")).collect()
+    total = [sum(r.n_tokens * r[f"p_{d}"] * r.rate for r in rows) for d in mixing.TARGETS]
+    present = np.array([sum(r.n_tokens * r[f"p_{d}"] for r in rows) for d in mixing.TARGETS])
+    goals = mixing.goals_of(present)
+    for got, goal in zip(total, goals):
+        assert np.isnan(goal) or got == pytest.approx(goal, rel=0.02)
+    assert max(r.rate for r in rows) <= 1 / mixing.SCARCE
+
+
 @pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
 def test_stage_odd_rows(spark, stage):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
