@@ -5,8 +5,8 @@ The method tokenises every text with two public vocabularies and measures
 characters per token, byte-fallback share and token entropy.  Rejection bands are set per
 language (or script, where no language is given) and length class: a text is
 rejected where a measure leaves the band around the group's median, in units of
-the spread between its 10th and 90th percentile, both taken over all texts that
-pass the base rules.
+the spread between its 10th and 90th percentile, both taken over all distinct texts that
+pass the base rules (a text that is copied counts once).
 """
 
 from __future__ import annotations
@@ -142,12 +142,13 @@ def measure(docs: DataFrame, piece_model: str, ranks: str, pattern: str) -> Data
         out = {k: [r[k] for r in rows] for k in [*_MEASURES, *BANDS]}
         out["size_class"] = [int(r["n_pieces"]).bit_length() for r in rows]
         out["grp"] = [f"lang:{x}" if x else script(t) for x, t in zip(langs, texts)]
-        return out | {"doc_id": batch.column("doc_id")}
+        return out | {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash")}
 
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     return map_columns(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", lang.alias("lang")), run,
-        "doc_id long, " + ", ".join(f"{m} long" for m in _MEASURES) + ", "
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", lang.alias("lang"),
+                    F.xxhash64("text").alias("text_hash")), run,
+        "doc_id long, text_hash long, " + ", ".join(f"{m} long" for m in _MEASURES) + ", "
         + ", ".join(f"{m} double" for m in BANDS) + ", grp string, size_class int")
 
 
@@ -155,7 +156,9 @@ def judge(measured: DataFrame) -> DataFrame:
     """``measured`` plus base_failed, kept and, per measure, its distance from the median in spreads."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     df = measured.withColumn("base_failed", failed)
-    passed = df.where(~F.col("base_failed"))
+    # texts of one hash and other measures are other texts; copies of a text collapse before the shuffle
+    passed = materialize(df.where(~F.col("base_failed")).select("grp", "size_class", "text_hash", *BANDS).distinct(),
+                         "fertility_distinct")
 
     def bands(*keys):
         at = F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))

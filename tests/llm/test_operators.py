@@ -155,6 +155,21 @@ def test_quality_bands_reject_junk_and_keep_prose(spark, pieces):
     assert sum(got[i] for i in range(400) if i % 20) > 0.97 * 380
 
 
+def test_quality_bands_count_copies_once(spark, pieces):
+    rnd = random.Random(6)
+    stems = "the of and that with this from have which their would there about other into could time than".split()
+
+    def prose():
+        return " ".join(rnd.choice(stems) + rnd.choice(["", "s", "ing", "ed"]) for _ in range(200))
+
+    junk = " ".join("".join(rnd.choice("☃ƺ✈ⱷ") for _ in range(3)) + "%%&&" for _ in range(60))
+    rows = [(i, prose(), "en") for i in range(150)]
+    rows += [(1000 + i, junk, "en") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.kept for r in fertility.quality(df, pieces, RANKS, tokenizers.PATTERN).collect()}
+    assert sum(got[i] for i in range(150)) > 0.95 * 150 and not any(got[1000 + i] for i in range(900))
+
+
 def test_quality_bands_do_not_shuffle_documents(spark, pieces):
     df = spark.createDataFrame([(1, "some words", "en")], "doc_id long, text string, lang string")
     plan = fertility.quality(df, pieces, RANKS, tokenizers.PATTERN)._jdf.queryExecution().executedPlan().toString()
