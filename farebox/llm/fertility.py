@@ -6,7 +6,11 @@ characters per token, byte-fallback share and token entropy.  Rejection bands ar
 language (or script, where no language is given) and length class: a text is
 rejected where a measure leaves the band around the group's median, in units of
 the spread between its 10th and 90th percentile, both taken over all distinct texts that
-pass the base rules (a text that is copied counts once).
+pass the base rules (a text that is copied counts once).  Few texts say little about
+their median: with n distinct texts, the band of a cell is drawn to that of its
+group by 1 / (1 + (SMALL / n)^2), and that of a group, which is never judged by other
+languages, is widened by 1 + (SMALL / n)^2, so that the smallest are left to the base
+rules and no verdict jumps at a count.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 MEMO_WORDS = 500_000
-MIN_GROUP = 50              # smaller (group, length class) cells use the group's band, smaller groups the common one
+SMALL = 50                  # distinct texts at which a cell's band is half its group's, and a group's band twice as wide
 # Measure -> (lowest, highest, least spread): band in spreads around the median.
 BANDS = {"chars_per_token": (-1.2, 4.0, 0.05), "chars_per_token_2": (-1.6, 5.0, 0.05),
          "byte_share": (-9.0, 5.0, 0.005), "token_entropy": (-0.95, 6.0, 0.1)}
@@ -160,26 +164,25 @@ def judge(measured: DataFrame) -> DataFrame:
     passed = materialize(df.where(~F.col("base_failed")).select("grp", "size_class", "text_hash", *BANDS).distinct(),
                          "fertility_distinct")
 
-    def bands(*keys):
-        at = F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))
-        return passed.groupBy(*keys).agg(F.count("*").alias("n"), *[F.percentile_approx(m, at).alias(m) for m in BANDS])
-
     def written(prefix, *keys):
-        """Bands of the large enough groups, written once; broadcast while their measured size is small, so
-        that the documents of a frequent language need not meet."""
-        large = bands(*keys).where(F.col("n") >= MIN_GROUP)
-        table = materialize(large.select(*keys, *[F.col(m).alias(f"{prefix}_{m}") for m in BANDS]), f"bands_{prefix}")
+        """Bands of the groups, written once; broadcast while their measured size is small, so that the
+        documents of a frequent language need not meet."""
+        at = F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))
+        table = materialize(
+            passed.groupBy(*keys).agg(((F.lit(float(SMALL)) / F.count("*")) ** 2).alias(f"{prefix}_few"),
+                                      *[F.percentile_approx(m, at).alias(f"{prefix}_{m}") for m in BANDS]),
+            f"bands_{prefix}")
         return checked_broadcast(table, "grp", require_unique=False)[0]
 
-    common = {m: v for m, v in bands().first().asDict().items() if m in BANDS}
     df = (df.join(written("c", "grp", "size_class"), ["grp", "size_class"], "left")
           .join(written("g", "grp"), "grp", "left"))
     inside = F.lit(True)
+    own, wide = 1 / (1 + F.col("c_few")), 1 + F.col("g_few")
     for m, (low, high, least) in BANDS.items():
-        known = common[m] if common[m] is not None else [0.0, 0.0, 0.0]
-        band = F.coalesce(f"c_{m}", f"g_{m}", F.array(*[F.lit(float(x)) for x in known]))
-        z = (F.col(m) - band[1]) / F.greatest(band[2] - band[0], F.lit(least))
-        df = df.withColumn(f"z_{m}", z)
+        cell, group = F.col(f"c_{m}"), F.col(f"g_{m}")
+        middle = group[1] + own * (cell[1] - group[1])
+        spread = group[2] - group[0] + own * (cell[2] - cell[0] - group[2] + group[0])
+        df = df.withColumn(f"z_{m}", (F.col(m) - middle) / (F.greatest(spread, F.lit(least)) * wide))
         inside &= F.col(f"z_{m}").between(low, high)
     return df.withColumn("kept", ~F.col("base_failed") & inside)
 

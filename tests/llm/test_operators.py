@@ -170,6 +170,25 @@ def test_quality_bands_count_copies_once(spark, pieces):
     assert sum(got[i] for i in range(150)) > 0.95 * 150 and not any(got[1000 + i] for i in range(900))
 
 
+def test_quality_small_languages_are_not_judged_by_others(spark, pieces):
+    rnd = random.Random(7)
+    stems = "the of and that with this from have which their would there about other into could time than".split()
+    greek = "και στο που για από είναι την του της ένα δεν ότι αυτό όπως μετά χρόνο άλλο κόσμος".split()
+
+    def prose(words, ends):
+        return " ".join(rnd.choice(words) + rnd.choice(ends) for _ in range(200))
+
+    rows = [(i, prose(stems, ["", "s", "ing", "ed"]), "en") for i in range(300)]
+    at = 1000
+    for lang, n in (("el", 49), ("e2", 51), ("e3", 3), (None, 20)):
+        rows += [(at + i, prose(greek, ["", "ς", "ων", "ου"]), lang) for i in range(n)]
+        at += 1000
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.kept for r in fertility.quality(df, pieces, RANKS, tokenizers.PATTERN).collect()}
+    kept = [sum(v for i, v in got.items() if i // 1000 == k) for k in range(5)]
+    assert kept[0] > 0.97 * 300 and kept[1] >= 47 and kept[2] >= 49 and kept[3] == 3 and kept[4] >= 19
+
+
 def test_quality_bands_do_not_shuffle_documents(spark, pieces):
     df = spark.createDataFrame([(1, "some words", "en")], "doc_id long, text string, lang string")
     plan = fertility.quality(df, pieces, RANKS, tokenizers.PATTERN)._jdf.queryExecution().executedPlan().toString()
