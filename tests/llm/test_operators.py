@@ -97,6 +97,27 @@ def test_entropy_spans_and_allow_list(spark):
     assert got[5].endswith(":0:32")
 
 
+def test_small_alphabets_and_placeholders(spark):
+    rnd = random.Random(8)
+    low, up = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    kinds = [low + "0123456789", up + "0123456789", up + "234567", low + up + "0123456789", low + up]
+    keys = [(k, "".join(rnd.choice(kinds[k]) for _ in range(n))) for k in range(5) for n in (20, 32) for _ in range(100)]
+    rows = [(i, f"x {key} y") for i, (_, key) in enumerate(keys)]
+    real = "9fK3bVq7Xw2LmZp4RtYs"
+    rows += [(5000, f"see config/example/key={real} ."), (5001, "see config/example/key=abc/AnotherExampleKey123456789012 ."),
+             (5002, "AbstractSingletonProxyFactoryBean internationalization"), (5003, "a placeholder0123456789abcdefghij b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(df).collect()}
+    for k in range(5):
+        for n, least in ((20, 0.8 if k == 4 else 0.9), (32, 0.95)):
+            of = [bool(got[i]) for i, (j, key) in enumerate(keys) if j == k and len(key) == n]
+            print("recall", k, n, sum(of) / len(of))
+            assert sum(of) >= least * len(of), (k, n, sum(of))
+    assert got[5000] and not got[5001] and not got[5002] and not got[5003]
+    clean = {r.doc_id: r.text for r in secrets.redact(df.where("doc_id = 5000")).collect()}
+    assert real not in clean[5000]
+
+
 def test_secrets_odd_rows(odd, empty):
     rows = secrets.find_secrets(odd).collect()
     assert len(rows) == odd.count()
