@@ -71,19 +71,26 @@ def _prepared(df: DataFrame, label: str) -> DataFrame:
 
 
 def fit_input(df: DataFrame, label: str, max_rows: int | None = FIT_ROWS) -> DataFrame:
-    """Training rows of a fit: all of ``df``, or about ``max_rows`` picked by a hash of the row
-    where there are more (None: no bound), in partitions of ``FIT_ROWS_PER_PARTITION`` and never in one."""
+    """Training rows of a fit: all of ``df``, or about ``max_rows`` drawn one by one
+    where there are more (None: no bound), in partitions of ``FIT_ROWS_PER_PARTITION`` and never in one.
+
+    Rows are drawn and dealt out by a seeded salt of each row, so equal rows are drawn
+    independently and meet in no one task; the drawn rows are written with it, so a re-run
+    task sees the same."""
     # Tree learners checkpoint their per-iteration state every ``checkpointInterval``
     # iterations (lineage cut, so a lost executor does not replay all iterations);
     # that needs the context's checkpoint dir, read from / registered in the session.
     checkpoint_root(df.sparkSession)
     rows = df.count()
+    drawn = _prepared(df, label).withColumn("__salt", F.rand(SEED))
     if max_rows is not None and rows > max_rows:
-        df = df.where(F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) < round((1 << 20) * max_rows / rows))
+        drawn = drawn.where(F.col("__salt") < max_rows / rows)
         rows = max_rows
+    path = scratch_path(df.sparkSession, "fit_rows")
+    drawn.write.parquet(path)
+    drawn = df.sparkSession.read.schema(drawn.schema).parquet(path)
     parts = max(2, -(-rows // FIT_ROWS_PER_PARTITION))
-    # hash of the row, so a re-run task deals out the same rows
-    return _prepared(df, label).repartition(parts, F.xxhash64(*df.columns))
+    return drawn.repartition(parts, F.xxhash64("__salt")).drop("__salt")
 
 
 def gbt_pipeline(features: list[str], label: str, hp: Hyperparameters) -> Pipeline:

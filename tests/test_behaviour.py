@@ -74,6 +74,16 @@ def test_long_run_names_stay_apart(spark):
     assert sorted((len(r.run_name), r.validation_auc) for r in got) == [(60, 0.5), (60, 0.6)]
 
 
+def test_fit_input_draws_equal_rows_one_by_one(spark):
+    df = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).cast("double").alias("x"),
+                                     (F.col("id") % 2).alias("y")).withColumn("y", F.when(F.col("x") < 0, 1).otherwise(F.col("y")))
+    got = L.fit_input(df, "y")
+    assert got.columns == df.columns
+    equal = got.where("x = -1").count()
+    assert 0.9 * 50_000 < equal < 1.1 * 50_000 and 0.95 * 150_000 < got.count() < 1.05 * 150_000
+    assert max(got.rdd.glom().map(len).collect()) < 15_000
+
+
 def test_fit_input_is_bounded_and_parallel(spark):
     df = spark.range(200_000).select((F.col("id") % 2).alias("y"), F.rand(1).alias("x"))
     got = L.fit_input(df, "y")
