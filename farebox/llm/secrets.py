@@ -45,7 +45,8 @@ PIECE_BITS = [
 ]
 
 # A piece (between '/' and '=') of a run that holds a placeholder.
-PLACEHOLDER = r"(?i)[a-z0-9+_-]*(example|placeholder|changeme|xxxx|0123456789|abcdefghij)[a-z0-9+_-]*"
+PLACEHOLDER = (r"(?i)(?<![a-z0-9+_-])[a-z0-9+_-]*?(example|placeholder|changeme|xxxx|0123456789|abcdefghij)"
+               r"[a-z0-9+_-]*")
 
 # Allow list: candidates that look random to a window but are no secrets.
 ALLOW = [
