@@ -5,11 +5,12 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.llm import bpe, fertility, lengths, mixing, mtree, secrets, simhash, toxicity, urls, warc
+from farebox.llm import bpe, dac, fertility, lengths, mixing, mtree, secrets, simhash, toxicity, urls, warc
 from farebox.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
+WORDS = "word_bpe_49k.json"
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,9 +57,14 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "fingerprint", "component_id"))
 
 
+def op11_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dac.token_file_round_trip(table(spark, sf_dir, "documents"), tokenizers.path(WORDS))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_fertility_quality, op3_target_mix, op4_mtree_top_k, op5_token_lengths, op6_byte_bpe, op7_warc_round_trip,
-    op8_toxicity, op9_url_verdicts, op10_simhash_near_dedup)}
+    op8_toxicity, op9_url_verdicts, op10_simhash_near_dedup,
+    op11_direct_codes)}
 
 ORACLE: dict[str, str] = {
     "op4_mtree_top_k": """
