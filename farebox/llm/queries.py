@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.llm import bpe, dac, fertility, lengths, mixing, mtree, secrets, simhash, toxicity, urls, warc
+from farebox.llm import bpe, dac, fertility, lengths, mixing, mtree, prefixes, repair, secrets, simhash, toxicity, urls, warc
 from farebox.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -61,10 +61,19 @@ def op11_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.token_file_round_trip(table(spark, sf_dir, "documents"), tokenizers.path(WORDS))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.audit(repair.damage(conversations), of=conversations)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_fertility_quality, op3_target_mix, op4_mtree_top_k, op5_token_lengths, op6_byte_bpe, op7_warc_round_trip,
     op8_toxicity, op9_url_verdicts, op10_simhash_near_dedup,
-    op11_direct_codes)}
+    op11_direct_codes, op12_prefix_trie, op13_structure_repair)}
 
 ORACLE: dict[str, str] = {
     "op4_mtree_top_k": """
@@ -94,4 +103,39 @@ ORACLE: dict[str, str] = {
                coalesce(fits.verdict, CASE WHEN regexp_matches(html, '(?i)<(link|meta)[^>]*(canonical|refresh)')
                                            THEN error('aliases are not covered by this twin') ELSE 'allow' END) AS verdict
         FROM p LEFT JOIN fits USING (page_id)""",
+    "op12_prefix_trie": """
+        WITH RECURSIVE bits(i, k, v) AS (
+            SELECT range::UBIGINT, 0, range::UBIGINT FROM range(256) UNION ALL
+            SELECT i, k + 1, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END::UBIGINT) FROM bits WHERE k < 8),
+        crc AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+        own AS (
+            SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                                 ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        hashed AS (
+            SELECT conv_id, turns, conv_id - conv_id % 5 AS source, xor(4294967295::UBIGINT, list_reduce(
+                       list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1]))) % 9 AS h
+            FROM own, crc),
+        rebuilt AS (
+            SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1:a.h::BIGINT], a.turns[a.h::BIGINT + 1:]) AS s
+            FROM hashed a LEFT JOIN own b ON b.conv_id = a.source),
+        paths AS (
+            SELECT conv_id, len(s) AS n, unnest(range(0, len(s) + 1)) AS depth, s FROM rebuilt),
+        keyed AS (
+            SELECT conv_id, n, depth, sha256(to_json(s[1:depth])) AS node, sha256(to_json(s[1:depth - 1])) AS parent,
+                   CASE WHEN depth = 0 THEN 0 ELSE octet_length(encode(s[depth].t)) END AS bytes, s FROM paths),
+        nodes AS (
+            SELECT node, any_value(CASE WHEN depth > 0 THEN parent END) AS parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   any_value(bytes) AS bytes, arg_min(s, conv_id) AS s,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+            FROM keyed GROUP BY node, depth),
+        children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+        full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (node)),
+        under AS (
+            SELECT unnest(list_transform(range(0, depth + 1), lambda k: sha256(to_json(s[1:k])))) AS node,
+                   (n_convs - 1) * bytes AS saved, (n_children = 0)::INT AS leaf FROM full_nodes),
+        sums AS (SELECT node, sum(saved)::BIGINT AS saved_tokens, sum(leaf)::BIGINT AS n_leaves FROM under GROUP BY node)
+        SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+        FROM full_nodes f JOIN sums USING (node) LEFT JOIN nodes p ON p.node = f.parent""",
 }
