@@ -15,8 +15,8 @@ BATCH_ROWS = 512
 BATCH_BYTES = 16 * 1024 * 1024
 
 
-def bound_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

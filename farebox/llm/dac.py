@@ -36,7 +36,7 @@ CELL_BITS = 21           # positions are matched to segments by cells of 2^21 id
 BLOCK = 512              # bits per entry of a rank directory
 _HEAD = struct.Struct("<8sIIQQQB")   # magic, part, number in part, bytes, documents, ids, levels
 _SLICE = 1 << 17
-ENCODE_ROWS = 512        # documents encoded together
+ENCODE_ROWS = 4096       # documents encoded together, of BATCH_BYTES at most
 
 
 def choose_widths(lengths: np.ndarray) -> list[int]:
@@ -219,7 +219,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -
     text hash.  Null and empty texts hold the end id only.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
+    bound_batches(spark, ENCODE_ROWS)
     shared = word_encoder(spark, tokenizer_path, end_id)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = keyed.select("doc_id", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"))
@@ -237,14 +237,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -
             names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             for at in range(0, len(names), ENCODE_ROWS):
                 got, n = shared.value.encode(texts.slice(at, ENCODE_ROWS))
-                doc_ids += names[at:at + ENCODE_ROWS]
-                counts.append(n)
-                ids.append(got)
-                held += len(got)
-                if held >= SEGMENT_IDS:
-                    yield emit()
-                    number += 1
-                    doc_ids, counts, ids, held = [], [], [], 0
+                ends, some, a = np.cumsum(n), names[at:at + ENCODE_ROWS], 0
+                while a < len(n):
+                    before = int(ends[a] - n[a])
+                    b = min(len(n), a + 1 + int(np.searchsorted(ends[a:] - before, SEGMENT_IDS - held)))
+                    doc_ids += some[a:b]
+                    counts.append(n[a:b])
+                    ids.append(got[before:ends[b - 1]])
+                    held += len(ids[-1])
+                    a = b
+                    if held >= SEGMENT_IDS:
+                        yield emit()
+                        number += 1
+                        doc_ids, counts, ids, held = [], [], [], 0
         if doc_ids:
             yield emit()
 

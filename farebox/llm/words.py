@@ -16,12 +16,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-MEMO_BYTES = 96 * 1024 * 1024
+MEMO_BYTES = 192 * 1024 * 1024
 MEMO_KEY = 64            # longer chunks (no white space: base64, CJK lines) are encoded where they occur
 _ENTRY = 200             # bytes of a table entry besides key and ids, measured
 _JOINED = 32 * 1024      # characters given to the library at once
 _MARKS = r"\p{M}|<\|"    # NFC may join a mark to a letter, and special tokens are case sensitive: not lower-cased here
-_TRAIL = ".,;:!?"
+# U+0130 is left out: lower-casing adds a mark to it, which would join the run
+_TRAIL = r"([a-z0-9\x{C0}-\x{12F}\x{131}-\x{24F}])([.,;:!?]+)( |$)"
 
 
 class WordEncoder:
@@ -80,45 +81,34 @@ class WordEncoder:
             self.memo, self.memo_bytes = {"": b""}, 0
         memo = self.memo
         missing = [c for c in distinct if c not in memo]
-        if missing:
-            cut = {}
-            for c in missing:
-                core = c.rstrip(_TRAIL)
-                # a final run of marks is a piece of its own after a letter or digit
-                last = core[-1:].lower()  # one character, unless lower-casing adds a mark
-                cut[c] = (core, c[len(core):]) if len(last) == 1 and last < "ɐ" and last.isalnum() else (c, "")
-            parts = list({p for pair in cut.values() for p in pair if p and p not in memo})
-            fresh = self._encode(parts)
-            both = lambda p: fresh[p] if p in fresh else memo[p]
-            new = {c: both(a) + (both(b) if b else b"") for c, (a, b) in cut.items()}
-            keep = {k: v for k, v in (fresh | new).items() if len(k) <= MEMO_KEY}
-            memo.update(keep)
-            self.memo_bytes += sum(_ENTRY + 2 * len(k) + len(v) for k, v in keep.items())
-            return [new[c] if c in new else memo[c] for c in distinct]
-        return [memo[c] for c in distinct]
+        if not missing:
+            return [memo[c] for c in distinct]
+        fresh = self._encode(missing)
+        keep = fresh if len(max(missing, key=len)) <= MEMO_KEY else {k: v for k, v in fresh.items() if len(k) <= MEMO_KEY}
+        memo.update(keep)
+        self.memo_bytes += _ENTRY * len(keep) + 2 * sum(map(len, keep)) + sum(map(len, keep.values()))
+        return [memo[c] if c in memo else fresh[c] for c in distinct]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids per text), end ids included; null texts are empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         spaced = pc.replace_substring(texts, "\n", " ")
         marked = pc.match_substring_regex(texts, _MARKS)
-        lists = pc.split_pattern(pc.if_else(marked, spaced, pc.ascii_lower(spaced)), " ")
+        spaced = pc.if_else(marked, spaced, pc.ascii_lower(spaced))
+        # a final run of marks is a piece of its own after a letter or digit: one chunk more, far fewer distinct ones
+        lists = pc.split_pattern(pc.replace_substring_regex(spaced, _TRAIL, "\\1 \\2\\3"), " ")
         coded = lists.flatten().dictionary_encode()
         ids = self._chunks(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        start = np.cumsum(size) - size
-        code = coded.indices.to_numpy()
-        lens = size[code]
-        ends = np.cumsum(lens)
-        bounds = np.append(0, ends)[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        starts = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4, out=starts[1:])
+        by_chunk = pa.LargeListArray.from_arrays(starts, np.frombuffer(b"".join(ids), "<u4"))
+        taken = by_chunk.take(coded.indices)
+        bounds = taken.offsets.to_numpy()[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         counts = np.diff(bounds) + 1
-        total = int(ends[-1]) if len(ends) else 0
-        source = np.repeat(start[code] - (ends - lens), lens) + np.arange(total)
-        out = np.full(total + len(counts), self.end_id, "<u4")
+        out = np.full(int(bounds[-1]) + len(counts), self.end_id, "<u4")
         keep = np.ones(len(out), bool)
         keep[np.cumsum(counts) - 1] = False
-        out[keep] = flat[source]
+        out[keep] = taken.flatten().to_numpy()
         return out, counts
 
 
