@@ -2,16 +2,13 @@
 
 Every aggregate here is a ``groupBy``/``agg`` with partial (map-side)
 aggregation, so a hot key is combined inside each task before the shuffle.
-AUC is computed exactly without a single-task global sort: scores are first
-aggregated per distinct value, then range-bucketed by approximate quantiles
-and ranked inside each bucket, with per-bucket offsets from a bounded table.
+AUC is computed exactly without a single-task global sort or sketch: scores
+are first aggregated per distinct value, then dealt out by ranges and ranked
+inside each range, with offsets from a table of one row per range.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,72 +52,47 @@ def accuracy(df: DataFrame, label: str = "label", score: str = "score", threshol
     return df.agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("rows"))
 
 
-def _score_buckets(scores: DataFrame, col: str, rows: int, target_rows_per_bucket: int = 1_000_000,
-                   max_buckets: int = 100_000) -> DataFrame:
-    """Add a ``bucket`` column, monotone in ``col``, from approximate quantiles.
-
-    The number of split points grows with the data (bounded by ``max_buckets``)
-    and is the only thing brought to the driver.
-    """
-    n_buckets = int(min(max_buckets, max(16, math.ceil(rows / target_rows_per_bucket))))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    q = scores.agg(F.percentile_approx(col, probs, 10 * n_buckets).alias("q")).first()["q"] or []
-    splits = sorted({float(x) for x in q if x is not None and not math.isnan(x)})
-    splits = [-math.inf, *splits, math.inf]
-    return Bucketizer(splits=splits, inputCol=col, outputCol="bucket").transform(scores)
-
-
-def auc(df: DataFrame, label: str = "label", score: str = "score", threshold: float = 0.5) -> DataFrame:
-    """A6 (+A5): exact ROC AUC with ties counted half (Mann-Whitney form), one row.
-
-    The same per-score table also gives the accuracy at ``threshold`` (a score
-    row is right for its positives when ``s >= threshold``, else for its
-    negatives), so the report needs no second pass and no join.
+def auc_by(df: DataFrame, groups: list[str], label: str = "label", score: str = "score", threshold: float = 0.5) -> DataFrame:
+    """A6 (+A5): exact ROC AUC with ties counted half (Mann-Whitney form), one row per group (one in all without groups).
 
-    1. per distinct score: positives and negatives (partial aggregation);
-    2. monotone buckets from approximate quantiles of the distinct scores;
-    3. negatives before each bucket from a bucket table of bounded size
-       (broadcast), negatives before each score inside its bucket by a window
-       partitioned on the bucket;
+    1. per (group, distinct score): positives and negatives (partial aggregation);
+    2. those rows are dealt out by ranges of (group, score) and written with
+       their range as cell, so cells are in score order and of even size,
+       whatever the distribution of the scores;
+    3. negatives before a row: those of the group's earlier cells (a table of
+       groups x cells) and those before it inside its cell (a window per cell);
     4. AUC = sum(pos * (neg_below + neg/2)) / (P * N).
 
-    Rows with a null or NaN score or a null label have no place in the ranking:
-    they are left out of all metrics and counted in ``excluded``.
+    The same rows give the accuracy at ``threshold`` (a score row is right for
+    its positives when ``s >= threshold``, else for its negatives).  Rows with a
+    null or NaN score or a null label have no place in the ranking: they are
+    left out of all metrics and counted in ``excluded``.  Group columns must not be null.
     """
     y = F.col(label).cast("int")
     s = F.col(score).cast("double")
     usable = s.isNotNull() & ~F.isnan(s) & y.isNotNull()
-    per_score = df.groupBy(F.when(usable, s).alias("s")).agg(
-        F.sum((~usable).cast("long")).alias("excluded"),
-        F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("pos"),
-        F.sum(F.when(y == 0, 1).otherwise(0)).cast("double").alias("neg"),
-    )
-    # The per-score table feeds three jobs (count, quantiles, ranking): write it
-    # once as a table in the shared checkpoint folder instead of re-running the
-    # input plan (a written table also cuts lineage for executor-loss recovery).
-    table = materialize(per_score, "auc_per_score")
-    excluded = int(table.agg(F.sum("excluded")).first()[0] or 0)
-    per_score = table.where("s IS NOT NULL").drop("excluded")
-    distinct_scores = per_score.count()
-    bucketed = _score_buckets(per_score, "s", distinct_scores)
-    per_bucket = bucketed.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))
-    order_all = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # per_bucket has at most max_buckets rows: the un-partitioned window and the
-    # broadcast below run over that bounded table only.
-    offsets = per_bucket.select(
-        "bucket", F.coalesce(F.sum("bucket_neg").over(order_all), F.lit(0.0)).alias("neg_before_bucket"))
-    within = Window.partitionBy("bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = bucketed.join(F.broadcast(offsets), "bucket").withColumn(
-        "neg_below", F.col("neg_before_bucket") + F.coalesce(F.sum("neg").over(within), F.lit(0.0)))
-    return ranked.agg(
-        F.try_divide(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2)),
-                     F.sum("pos") * F.sum("neg")).alias("auc"),
+    per_score = df.groupBy(*groups, F.when(usable, s + F.lit(0.0)).alias("s")).agg(
+        F.count_if(~usable).alias("excluded"),
+        F.count_if(usable & (y == 1)).cast("double").alias("pos"), F.count_if(usable & (y == 0)).cast("double").alias("neg"))
+    cells = materialize(per_score.repartitionByRange(*groups, "s").withColumn("cell", F.spark_partition_id()), "auc_cells")
+    earlier = Window.partitionBy(*groups).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    per_cell = cells.groupBy(*groups, "cell").agg(F.sum("neg").alias("n"))
+    per_cell = per_cell.select(*groups, "cell", F.coalesce(F.sum("n").over(earlier), F.lit(0.0)).alias("neg_earlier"))
+    within = Window.partitionBy(*groups, "cell").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = cells.withColumn("neg_inside", F.coalesce(F.sum("neg").over(within), F.lit(0.0))).join(per_cell, [*groups, "cell"])
+    below = F.col("neg_earlier") + F.col("neg_inside")
+    return ranked.groupBy(*groups).agg(
+        F.try_divide(F.sum(F.col("pos") * (below + F.col("neg") / 2)), F.sum("pos") * F.sum("neg")).alias("auc"),
         F.try_divide(F.sum(F.when(F.col("s") >= F.lit(threshold), F.col("pos")).otherwise(F.col("neg"))),
                      F.sum(F.col("pos") + F.col("neg"))).alias("accuracy"),
         F.sum("pos").cast("bigint").alias("positives"),
         F.sum("neg").cast("bigint").alias("negatives"),
-        F.lit(excluded).cast("bigint").alias("excluded"),
-    )
+        F.coalesce(F.sum("excluded"), F.lit(0)).cast("bigint").alias("excluded"))
+
+
+def auc(df: DataFrame, label: str = "label", score: str = "score", threshold: float = 0.5) -> DataFrame:
+    """A6 (+A5): :func:`auc_by` over all rows; one row, with null metrics for an empty frame."""
+    return auc_by(df, [], label, score, threshold)
 
 
 def split_counts(df: DataFrame, split: str = "split") -> DataFrame:

@@ -1,8 +1,9 @@
 """Training, scoring, evaluation, tuning and candidate ranking.
 
-All model work is ``pyspark.ml``: distributed fitting over the full split, no
-pandas.  Numbers cannot equal scikit-learn's (binned splits, different leaf
-updates); compare AUC against a base-rate model rather than exact values.
+Boosted trees are grown by :mod:`farebox.operators.boost` (all trials of a
+tuning run in shared passes); the other model families are ``pyspark.ml``.
+Numbers cannot equal scikit-learn's (binned splits, different leaf updates);
+compare AUC against a base-rate model rather than exact values.
 """
 
 from __future__ import annotations
@@ -14,13 +15,14 @@ from dataclasses import asdict, dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.functions import ensembles as E
 from farebox.operators import aggregate as A
+from farebox.operators import boost
 from farebox.session import checkpoint_root, scratch_path
 
 # ---------------------------------------------------------------- fixed values
@@ -118,18 +120,30 @@ def train_gbt(train: DataFrame, label: str, hp: Hyperparameters | None = None) -
     return persist_model(model, train.sparkSession, "gbt")
 
 
-def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
-    """M9: P(label = 1) per row, as a double column (no Python UDF)."""
+def train_boosted(train: DataFrame, label: str, hp: Hyperparameters | None = None) -> E.Ensemble:
+    """M8: gradient-boosted trees on every column but the label, as a plain ensemble."""
+    hp = validate_hyperparameters(hp or Hyperparameters())
+    trial = boost.Trial(hp.learning_rate, hp.max_depth, hp.n_estimators)
+    return boost.fit_trials(fit_input(train, label), feature_columns(train, label), label, [trial])[0]
+
+
+def score(model: PipelineModel | E.Ensemble, df: DataFrame, out: str = "score") -> DataFrame:
+    """M9: P(label = 1) per row, as a double column."""
+    if isinstance(model, E.Ensemble):
+        return E.score(model, df, out)
     scored = model.transform(df).withColumn(out, vector_to_array(F.col("probability"))[1])
     return scored.drop("features", "rawPrediction", "probability", "prediction")
 
 
-def feature_importances(spark: SparkSession, model: PipelineModel, features: list[str]) -> DataFrame:
+def feature_importances(spark: SparkSession, model: PipelineModel | E.Ensemble, features: list[str]) -> DataFrame:
     """``(feature, importance)`` of the fitted tree model (importances sum to 1)."""
-    stage = model.stages[-1]
-    if not hasattr(stage, "featureImportances"):
-        raise TypeError(f"{type(stage).__name__} has no feature importances")
-    imp = stage.featureImportances.toArray().tolist()
+    if isinstance(model, E.Ensemble):
+        imp = model.importances()
+    else:
+        stage = model.stages[-1]
+        if not hasattr(stage, "featureImportances"):
+            raise TypeError(f"{type(stage).__name__} has no feature importances")
+        imp = stage.featureImportances.toArray().tolist()
     return spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
 
 
@@ -147,10 +161,8 @@ def evaluation_report(scored: DataFrame, label: str, score_col: str = "score") -
     return both.select("accuracy", "auc", F.to_json(report).alias("report"))
 
 
-def auc_of(model: PipelineModel, df: DataFrame, label: str) -> float:
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC", numBins=0)
-    return float(ev.evaluate(model.transform(_prepared(df, label))))
+def auc_of(model: PipelineModel | E.Ensemble, df: DataFrame, label: str) -> float:
+    return float(A.auc(score(model, df), label).first()["auc"])
 
 
 def tuning_points(trials: int = TUNING_TRIALS, seed: int = SEED) -> list[tuple[float, int]]:
@@ -162,29 +174,18 @@ def tuning_points(trials: int = TUNING_TRIALS, seed: int = SEED) -> list[tuple[f
 
 
 def tune(train: DataFrame, validation: DataFrame, label: str, trials: int = TUNING_TRIALS,
-         parallelism: int = TUNING_PARALLELISM, trees: int = TUNING_TREES) -> tuple[PipelineModel, list[dict]]:
-    """Fit each trial on ``train``, score AUC on ``validation``; ``parallelism`` trials at a time.
-
-    Same mechanics as ``TrainValidationSplit(parallelism=...)`` (a thread pool
-    submitting Spark jobs) but on the given validation split instead of a
-    random re-split.  Each fit is itself distributed.
-    """
-    features = feature_columns(train, label)
+         trees: int = TUNING_TREES) -> tuple[E.Ensemble, list[dict]]:
+    """Fit all trials on ``train`` in shared passes, score all on ``validation`` in one, rank by AUC (all in one query)."""
     points = tuning_points(trials)
-    tr, va = fit_input(train, label), _prepared(validation, label)
-
-    def run(i: int):
-        lr, depth = points[i]
-        model = persist_model(gbt_pipeline(features, label, validate_hyperparameters(
-            Hyperparameters(lr, trees, depth))).fit(tr), tr.sparkSession, f"trial{i + 1}")
-        return i, model, auc_of(model, va, label)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = sorted(pool.map(run, range(len(points))), key=lambda r: r[0])
-    trials_out = [{"trial": i + 1, "learning_rate": points[i][0], "max_depth": points[i][1],
-                   "n_estimators": trees, "validation_auc": float(a)} for i, _, a in results]
-    best = max(results, key=lambda r: r[2])
-    return best[1], trials_out
+    for lr, depth in points:
+        validate_hyperparameters(Hyperparameters(lr, trees, depth))
+    fitted = boost.fit_trials(fit_input(train, label), feature_columns(train, label), label,
+                              [boost.Trial(lr, depth, trees) for lr, depth in points])
+    scored = E.score_all(fitted, validation, [label])
+    auc = {r["model"]: float(r["auc"]) for r in A.auc_by(scored, ["model"], label).collect()}
+    out = [{"trial": i + 1, "learning_rate": lr, "max_depth": depth, "n_estimators": trees, "validation_auc": auc[i]}
+           for i, (lr, depth) in enumerate(points)]
+    return fitted[max(range(len(points)), key=auc.get)], out
 
 
 def candidates(label: str) -> list[tuple[str, object]]:
@@ -194,7 +195,7 @@ def candidates(label: str) -> list[tuple[str, object]]:
         ("decision_tree", DecisionTreeClassifier(featuresCol="features", labelCol=label, maxDepth=5, seed=SEED)),
         ("random_forest", RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=50,
                                                  maxDepth=5, seed=SEED)),
-        ("gbt", GBTClassifier(featuresCol="features", labelCol=label, maxIter=50, maxDepth=3, seed=SEED)),
+        ("gbt", Hyperparameters(0.1, 50, 3)),
     ]
 
 
@@ -210,8 +211,11 @@ def rank_candidates(spark: SparkSession, train: DataFrame, validation: DataFrame
 
     def run(item):
         name, est = item
-        model = persist_model(Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features",
-                                                               handleInvalid="keep"), est]).fit(tr), spark, name)
+        if isinstance(est, Hyperparameters):
+            model = boost.fit_trials(tr, features, label, [boost.Trial(est.learning_rate, est.max_depth, est.n_estimators)])[0]
+        else:
+            model = persist_model(Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features",
+                                                                   handleInvalid="keep"), est]).fit(tr), spark, name)
         m = A.auc(score(model, va), label).first()
         return name, "accuracy", float(m["accuracy"]), float(m["auc"])
 
