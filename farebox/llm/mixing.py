@@ -1,38 +1,40 @@
 """Mixing sources to target weights (operator 3).
 
-A classifier learnt from the labelled table gives every document a soft
-membership in the domains.  With a[d] = tokens(d) * membership(d), nonnegative
-document rates r minimise
-
-    1/2 sum_j (sum_d r[d] a[d, j] - T[j])^2 / (A[j] N)  +  mu/2 sum_d s[d] (r[d] - 1)^2
-
-where T are the goals (target token totals), A the present ones, N their sum and
-s[d] the document's share of N; the small mu only picks the rates nearest to 1
-among those that meet the goals.  At the minimum r[d] = max(0, 1 - m[d] . x), m[d]
-being the document's membership, with one number x[j] = (reached[j] - T[j]) / (mu A[j])
-per domain.  These are found by a damped Newton method on the convex dual: one
-pass over the written memberships in Arrow batches gives value, gradient and
-curvature for some x.  It ends where the gradient, which is what is missing of the
-goals beside the pull of mu, is under ``TOLERANCE`` of every domain's tokens, and
-raises if that is not reached.  A rate is a function of the document's own
-membership and x, so nothing per document is kept between passes, and a lost
-executor costs only its own batches.
+A classifier learnt from the labelled table (features: distinct words, by a
+hash of their first five letters, and marks of the text's form) gives every
+document a soft membership m[d] in the domains.  Nonnegative document rates r
+bring the expected token totals A(r)[j] = sum_d tokens(d) r[d] m[d, j] to the
+goals T by least squares, sum over domains weighted by the inverse of the
+memberships' second moments C[j, k] = sum_d tokens(d) m[d, j] m[d, k]:
+
+    minimise  1/2 (A(r) - T)' C^-1 (A(r) - T)   over  r >= 0,  from r = 1.
+
+Projected gradient, accelerated by momentum with gradient restarts: in the
+metric of the tokens the step is r = max(0, z - m . y), y = C^-1 (A(z) - T), z
+being r moved on by its last change; the curvature there is at most 1, so the
+step is 1.  Each step is one pass over the written memberships in Arrow batches,
+and only y (one number per domain) comes from the driver: a rate is replayed
+from the document's own membership and the steps so far, so nothing per document
+is kept between passes, and a lost executor costs only its own batches.  The fit
+ends where what is missing of every goal is under ``TOLERANCE``, or, where goals
+out of reach are missed by more than ``MISSED``, where the projected gradient is
+under ``STILL``; it raises if neither comes.
 
 A domain that hardly occurs cannot be brought up to its target without repeating
-its few documents many times.  ``goals_of`` says what such domains get instead.
+its few documents many times.  ``goals_of`` says what such domains get instead,
+and :func:`report` gives target, goal and reached total of each.
 """
 
 from __future__ import annotations
 
 import math
-import warnings
 import zlib
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.llm.common import bound_batches, map_columns, materialize, words
@@ -42,14 +44,16 @@ from farebox.llm.common import bound_batches, map_columns, materialize, words
 TARGETS = {"prose": 0.92, "junk": 0.07, "toxic": 0.01}
 LABELLED_ROWS = 12_000     # expected bound of the labelled sample the classifier is fitted on
 WORD_BUCKETS = 4096
-MU = 1e-3
-TOLERANCE = 1e-6           # of a domain's tokens: where the fit ends
-MAX_PASSES = 100           # bound of passes, beyond which the fit fails (5 to 10 are usual)
+TOLERANCE = 1e-6           # of a domain's tokens: where the fit ends if the goals can be met
+STILL = 1e-3               # length of the projected gradient, of that of the rates: where it ends if they can't
+MISSED = 0.02
+MAX_PASSES = 200           # bound of passes, beyond which the fit fails (2 to 10 are usual, 40 to 100 with goals out of reach)
 # A domain grows to its target if its present share is at least SCARCE of it (so by 1 / SCARCE at most); at
 # ABSENT of it or less it has no goal; in between the growth allowed falls linearly to 1.
 SCARCE, ABSENT = 0.25, 0.05
-MISSED = 0.02              # a share further than this from its goal (relative) is warned of
-MEMO_WORDS = 300_000
+MEMO_BYTES = 48 * 1024 * 1024   # of distinct words kept by a Python worker
+MEMO_KEY = 64                   # longer words (no white space: base64, CJK lines) are not kept
+_ENTRY = 150                    # bytes of an entry beside its key
 
 
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
@@ -76,6 +80,7 @@ class Features:
 
     def __init__(self):
         self.memo: dict[bytes, int] = {}
+        self.size = 0
 
     def __getstate__(self):
         return {}
@@ -86,12 +91,19 @@ class Features:
     def of(self, text: str | None) -> tuple[int, np.ndarray]:
         w = words(text)
         distinct = set(w)
-        if len(self.memo) > MEMO_WORDS:
+        if self.size > MEMO_BYTES:
             self.memo.clear()
-        memo = self.memo
+            self.size = 0
+        memo, found = self.memo, set()
         for x in distinct.difference(memo):
-            memo[x] = zlib.crc32(x.lower()[:5]) % WORD_BUCKETS
-        found = set(map(memo.__getitem__, distinct))
+            bucket = zlib.crc32(x.lower()[:5]) % WORD_BUCKETS
+            if len(x) <= MEMO_KEY:
+                memo[x] = bucket
+                self.size += _ENTRY + len(x)
+            else:
+                distinct.discard(x)
+                found.add(bucket)
+        found.update(map(memo.__getitem__, distinct))
         found.update(_shape_tokens(text or "", w))
         return len(w), np.fromiter(found, dtype=np.int64, count=len(found))
 
@@ -164,23 +176,33 @@ def membership(docs: DataFrame, model: DomainModel) -> DataFrame:
 
 
 class RateModel:
-    """Rates of documents from their membership and one multiplier per domain."""
+    """Rates of documents from their membership and the steps of the fit."""
 
     def __init__(self, goals: np.ndarray):
         self.goals = goals                      # token totals wanted; nan: no goal, the domain hardly occurs
-        self.multipliers = np.zeros(len(goals))
+        self.present = np.zeros(len(goals))     # token totals at rate 1
         self.reached = np.zeros(len(goals))     # token totals after the fit
+        self.steps: list[tuple[float, np.ndarray]] = []   # (momentum before the step, y)
+
+    def replay(self, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rates, rates one step earlier, the point z that the last step started from)."""
+        r = before = z = np.ones(len(member))
+        for momentum, y in self.steps:
+            z = r + momentum * (r - before)
+            before, r = r, np.maximum(0.0, z - member @ y)
+        return r, before, z
 
     def rates(self, member: np.ndarray) -> np.ndarray:
-        return np.maximum(0.0, 1.0 - member @ self.multipliers)
+        return self.replay(member)[0]
 
 
-def goals_of(totals: np.ndarray, targets: dict[str, float] = TARGETS) -> np.ndarray:
+def goals_of(totals: np.ndarray, targets: dict[str, float] = TARGETS, scarce_at: float = SCARCE,
+             absent_at: float = ABSENT) -> np.ndarray:
     """Token totals wanted per domain, given the present ``totals``; nan where a domain hardly occurs.
 
     The targets are shares of the present total.  A domain present with less than
-    ``SCARCE`` of its target may grow less than to it, and one with ``ABSENT`` of it or
-    less keeps what it has without a goal of its own; the others share the rest in
+    ``scarce_at`` of its target may grow less than to it (both bounds 0: every target is a
+    goal, however often documents repeat), and one with ``absent_at`` of it or less keeps what it has without a goal of its own; the others share the rest in
     proportion to their targets (so they may become scarce in turn).
     """
     weight = np.array(list(targets.values()), dtype=float)
@@ -193,74 +215,79 @@ def goals_of(totals: np.ndarray, targets: dict[str, float] = TARGETS) -> np.ndar
         left = max(0.0, tokens - fixed[~free].sum())
         share = weight[free].sum()
         wanted = np.where(free, left * weight / share if share > 0 else 0.0, fixed)
-        scarce = free & (totals < SCARCE * wanted)
+        scarce = free & (totals < scarce_at * wanted)
         if not scarce.any():
             wanted[absent] = np.nan
             return wanted
         ratio = totals[scarce] / wanted[scarce]
-        growth = 1 + (1 / SCARCE - 1) * np.clip((ratio - ABSENT) / (SCARCE - ABSENT), 0, 1)
+        growth = 1 + (1 / scarce_at - 1) * np.clip((ratio - absent_at) / max(scarce_at - absent_at, 1e-12), 0, 1)
         fixed[scarce] = np.minimum(growth * totals[scarce], wanted[scarce])
-        absent[scarce] = ratio <= ABSENT
+        absent[scarce] = ratio <= absent_at
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, mu: float = MU) -> RateModel:
+def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, scarce_at: float = SCARCE,
+              absent_at: float = ABSENT) -> RateModel:
     """Fit rates so that expected domain token totals meet the goals (``goals_of``)."""
     spark = members.sparkSession
     k = len(targets)
-    sums = members.select("n_tokens", *[(F.col("n_tokens") * F.col("member")[j]).alias(f"a{j}") for j in range(k)])
-    row = sums.agg(F.sum("n_tokens"), *[F.sum(f"a{j}") for j in range(k)]).first()
+    pairs = [(i, j) for i in range(k) for j in range(k)]
+    member, n = F.col("member"), F.col("n_tokens")
+    row = members.agg(F.sum(n), *[F.sum(n * member[j]) for j in range(k)], *[F.sum(n * member[i] * member[j]) for i, j in pairs]).first()
     tokens = float(row[0] or 0)
-    totals = np.array([float(x or 0) for x in row[1:]])
-    model = RateModel(goals_of(totals, targets))
-    if not tokens:
-        return model
+    totals = np.array([float(x or 0) for x in row[1:1 + k]])
+    moments = np.array([float(x or 0) for x in row[1 + k:]]).reshape(k, k)
+    model = RateModel(goals_of(totals, targets, scarce_at, absent_at))
+    model.present = model.reached = totals
     used = ~np.isnan(model.goals) & (totals > 0)
+    if not tokens or not used.any():
+        return model
     goals = np.where(used, model.goals, 0.0)
     enough = TOLERANCE * np.maximum(np.maximum(goals, totals), 1e-4 * tokens)
+    some = np.ix_(used, used)
+    # 1e-9 of the scale: domains whose memberships go in step everywhere have one direction between them
+    weight = np.zeros((k, k))
+    weight[some] = np.linalg.inv(moments[some] + 1e-9 * tokens * np.eye(int(used.sum())))
 
-    def passed(x):
-        """Value of the dual, token totals and curvature at multipliers ``x``."""
-        shared = spark.sparkContext.broadcast(x)
+    def passed(momentum: float):
+        """Totals at the rates and at the next z, and the lengths and products that decide on the next step."""
+        shared = spark.sparkContext.broadcast((model.steps, momentum))
 
         def run(batch):
+            steps, momentum = shared.value
+            told = RateModel(np.zeros(k))
+            told.steps = steps
             n = batch.column("n_tokens").to_numpy(zero_copy_only=False).astype(float)
             m = batch.column("member").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
-            r = np.maximum(0.0, 1.0 - m @ shared.value)
-            inside = n * (r > 0)
-            out = [n @ (r * r) / 2, *((n * r) @ m), *((m * inside[:, None]).T @ m).ravel()]
+            r, before, z = told.replay(m)
+            nxt = r + momentum * (r - before)
+            out = [*((n * r) @ m), *((n * nxt) @ m), n @ (r - z) ** 2, n @ r ** 2, n @ ((z - r) * (r - before))]
             return {f"s{j}": [float(v)] for j, v in enumerate(out)}
 
-        size = 1 + k + k * k
+        size = 2 * k + 3
         part = map_columns(members.select("n_tokens", "member"), run, ", ".join(f"s{j} double" for j in range(size)))
         got = np.array([float(v or 0) for v in part.agg(*[F.sum(f"s{j}") for j in range(size)]).first()])
         shared.unpersist()
-        value = got[0] + goals @ x + mu / 2 * totals @ (x * x)
-        return value, got[1:1 + k], got[1 + k:].reshape(k, k)
+        return got[:k], got[k:2 * k], *got[2 * k:]
 
-    x = model.multipliers
-    value, reached, curved = passed(x)
-    step, length = None, 1.0
+    age, momentum, at_next = 1.0, 0.0, totals
     for _ in range(MAX_PASSES):
-        if step is None:
-            down = np.where(used, reached - goals - mu * totals * x, 0.0)
-            if (np.abs(down) <= enough).all():
-                break
-            step, length = np.zeros(k), 1.0
-            step[used] = np.linalg.solve((curved + mu * np.diag(totals))[np.ix_(used, used)], down[used])
-        tried = x + length * step
-        new = passed(tried)
-        # 1e-12: near the minimum the value's own rounding hides the last decrease
-        if new[0] <= value - 1e-4 * length * (down @ step) + 1e-12 * abs(value):
-            x, (value, reached, curved), step = tried, new, None
-        else:
-            length /= 2
-    else:
-        raise RuntimeError(f"rates not fitted after {MAX_PASSES} passes: token totals {reached}, goals {goals}")
-    model.multipliers, model.reached = x, reached
-    missed = used & (np.abs(reached - goals) > MISSED * np.maximum(goals, 1e-4 * tokens))
-    if missed.any():
-        warnings.warn(f"targets out of reach: token totals {reached.tolist()}, goals {model.goals.tolist()}", stacklevel=2)
-    return model
+        model.steps.append((momentum, np.where(used, weight @ np.where(used, at_next - goals, 0.0), 0.0)))
+        older, age = age, (1 + math.sqrt(1 + 4 * age * age)) / 2
+        model.reached, at_next, moved, length, against = passed((older - 1) / age)
+        missed = np.where(used, np.abs(model.reached - goals), 0.0)
+        if (missed <= enough).all() or moved <= STILL ** 2 * length and (missed > MISSED * goals).any():
+            return model
+        momentum = (older - 1) / age
+        if against > 0:                         # the step went against the last change: start the momentum anew
+            age, momentum, at_next = 1.0, 0.0, model.reached
+    raise RuntimeError(f"rates not fitted after {MAX_PASSES} passes: token totals {model.reached}, goals {goals}")
+
+
+def report(spark: SparkSession, model: RateModel, targets: dict[str, float] = TARGETS) -> DataFrame:
+    """One row per domain: target share, tokens present, goal (null: the domain hardly occurs and has none), tokens reached."""
+    rows = [(d, float(t), float(p), None if math.isnan(g) else float(g), float(r))
+            for (d, t), p, g, r in zip(targets.items(), model.present, model.goals, model.reached)]
+    return spark.createDataFrame(rows, "domain string, target double, present double, goal double, reached double")
 
 
 def rates(members: DataFrame, model: RateModel) -> DataFrame:
@@ -275,39 +302,55 @@ def rates(members: DataFrame, model: RateModel) -> DataFrame:
     return map_columns(members, run, "doc_id long, n_tokens long, member array<double>, rate double")
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
+def fit_mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, scarce_at: float = SCARCE,
+            absent_at: float = ABSENT) -> tuple[DataFrame, RateModel]:
+    """(doc_id, n_tokens, member) of every row, written, and the fitted rates."""
+    members = materialize(membership(docs, fit_domains(docs, labels, targets)), "mixing_members")
+    return members, fit_rates(members, targets, scarce_at, absent_at)
+
+
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, scarce_at: float = SCARCE,
+        absent_at: float = ABSENT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, one membership column per domain, rate.
 
     Null and empty texts have no tokens, their rate follows their membership;
     null doc_ids, repeated rows and ties are rows like any other with equal
     results; other columns are ignored; an empty table gives none.
     """
-    model = fit_domains(docs, labels, targets)
-    members = materialize(membership(docs, model), "mixing_members")
-    done = rates(members, fit_rates(members, targets))
+    members, model = fit_mix(docs, labels, targets, scarce_at, absent_at)
+    done = rates(members, model)
     return done.select("doc_id", "n_tokens", *[F.col("member")[j].alias(f"p_{d}") for j, d in enumerate(targets)], "rate")
 
 
-def rate_column(docs: DataFrame, domains: DomainModel, model: RateModel) -> Column:
-    """Rate of each row from its own text."""
+def resample(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, scarce_at: float = SCARCE,
+             absent_at: float = ABSENT) -> DataFrame:
+    """``docs`` with each row taken ``rate`` times on average: its whole part, and once more by a draw of its own.
+
+    The draw is a hash of doc_id, text and the row's number in the written
+    table, so repeated rows are drawn one by one and a re-run task draws alike.
+    Null and empty texts, null doc_ids and ties are rows like any other; every
+    column stays, whatever its name; an empty table stays empty.
+    """
+    domains = fit_domains(docs, labels, targets)
+    shared = docs.sparkSession.sparkContext.broadcast(domains)
     bound_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((domains, model))
 
-    @F.pandas_udf("double")
-    def rate(text: pd.Series) -> pd.Series:
-        d, r = shared.value
-        member = np.array([d.member(t)[1] for t in text]).reshape(-1, len(d.domains))
-        return pd.Series(r.rates(member), dtype="float64")
+    @F.pandas_udf("struct<n_tokens:long,member:array<double>>")
+    def member(text: pd.Series) -> pd.DataFrame:
+        got = [shared.value.member(t) for t in text]
+        return pd.DataFrame({"n_tokens": [n for n, _ in got], "member": [p.tolist() for _, p in got]})
 
-    return rate(F.coalesce(docs["text"], F.lit("")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = materialize(docs.select(row, member(F.coalesce("text", F.lit(""))).alias("m"),
+                                   F.monotonically_increasing_id().alias("number")), "mixing_rows")
+    model = fit_rates(rows.select("m.n_tokens", "m.member"), targets, scarce_at, absent_at)
+    fitted = docs.sparkSession.sparkContext.broadcast(model)
 
+    @F.pandas_udf("double")
+    def rate(member: pd.Series) -> pd.Series:
+        return pd.Series(fitted.value.rates(np.array(member.tolist()).reshape(-1, len(targets))), dtype="float64")
 
-def resample(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
-    """``docs`` with each row taken ``rate`` times on average: its whole part, and once more by a hash of the row."""
-    domains = fit_domains(docs, labels, targets)
-    model = fit_rates(materialize(membership(docs, domains), "mixing_members"), targets)
-    chance = F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    copies = F.floor(rate_column(docs, domains, model) + chance).cast("int")
-    return (docs.withColumn("__llm_copies", copies).where("__llm_copies > 0")
-            .select("*", F.explode(F.sequence(F.lit(1), F.col("__llm_copies"))).alias("__llm_copy"))
-            .drop("__llm_copies", "__llm_copy"))
+    chance = F.pmod(F.xxhash64(F.lit("mix"), "row.doc_id", "row.text", "number"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    copies = rows.select("row", F.floor(rate("m.member") + chance).cast("int").alias("copies")).where("copies > 0")
+    return (copies.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
