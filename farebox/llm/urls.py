@@ -62,19 +62,38 @@ def _target(link: Column, host: Column, path: Column) -> Column:
             .otherwise(F.concat(here, F.regexp_extract(F.concat(F.lit("/"), path), r"^/(.*/|)", 1), link)))
 
 
+def _resolved(path: Column) -> Column:
+    """``path`` without its ``.`` and ``..`` segments."""
+    def step(acc, part):
+        up = F.regexp_replace(acc, r"/[^/]*$", "")
+        return F.when(part == ".", acc).when(part == "..", up).otherwise(F.concat(acc, F.lit("/"), part))
+
+    parts = F.slice(F.split(path, "/"), F.lit(2), F.size(F.split(path, "/")))
+    kept = F.aggregate(parts, F.lit(""), step)
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.when(path.rlike(r"/\.\.?$"), F.concat(kept, F.lit("/"))).otherwise(kept)).otherwise(path)
+
+
+def _attribute(tag: Column, name: str, stop: str) -> Column:
+    """Value of an attribute, quoted or not (then up to one of ``stop``)."""
+    found = F.regexp_extract_all(tag, F.lit(rf"""(?is)\b{name}\s*=\s*("[^"]*"|'[^']*'|[^{stop}]*)"""), F.lit(1))
+    return F.regexp_replace(F.coalesce(F.get(found, F.lit(0)), F.lit("")), r"""^["']|["']$""", "")
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst) node names from canonical links and refresh redirects; null where a link leads nowhere."""
+    """(src, dst) node names from every canonical link and refresh redirect; null where a link leads nowhere."""
     html = F.col("html")
-    canonical = F.regexp_extract(html, r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    refresh = F.regexp_extract(html, r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    tags = (pages.select("url", F.when(html.rlike("(?i)canonical"), canonical).alias("canonical"),
-                         F.when(html.rlike("(?i)refresh"), refresh).alias("refresh"))
-            .where("canonical <> '' OR refresh <> ''"))
-    href = F.regexp_extract("canonical", r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]*)", 1)
-    moved = F.regexp_extract("refresh", r"(?is)\burl\s*=\s*[\"']?([^\"'>]*)", 1)
-    links = _with_parts(tags.select("url", F.explode(F.array(href, moved)).alias("link")), "url", "src")
+    tags = F.when(html.rlike("(?i)canonical|refresh"), F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0)))
+    tags = pages.select("url", F.explode(tags).alias("tag"))
+    content = _attribute(F.col("tag"), "content", r"\s>")
+    link = (F.when(_attribute(F.col("tag"), "rel", r"\s>").rlike(r"(?i)(^|\s)canonical(\s|$)"), _attribute(F.col("tag"), "href", r"\s>"))
+            .when(_attribute(F.col("tag"), "http-equiv", r"\s>").rlike(r"(?i)^\s*refresh\s*$"),
+                  F.regexp_extract(content, r"""(?is)\burl\s*=\s*["']?([^"'>]*)""", 1)))
+    links = tags.select("url", link.alias("link")).where("link <> ''")
+    links = _with_parts(links, "url", "src")
     links = links.withColumn("dst", _target(F.col("link"), F.col("src_host"), F.col("src_path")))
-    return _with_parts(links, "dst", "dst").select(F.col("src_node").alias("src"), F.col("dst_node").alias("dst"))
+    ends = _with_parts(links, "dst", "dst")
+    path = F.when(F.col("dst_path") == "", F.lit("/")).otherwise(_resolved(F.col("dst_path")))
+    return ends.select(F.col("src_node").alias("src"), F.when(F.col("dst_host") != "", F.concat("dst_host", path, "dst_query")).alias("dst"))
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:

@@ -7,6 +7,9 @@ the line separator, and the files are plain concatenated members.  The reader
 hands byte ranges of the files to tasks.  A task looks for gzip magic from its
 range's start, accepts a candidate only if it decodes to a WARC header, owns
 the records that start inside its range and reads the last one past its end.
+Ranges come from Spark's own file listing and are packed into tasks.  Bytes
+that belong to no readable record (a member that does not decode, a gap between
+members) are damage: reading raises, or skips it and lists it (``damages``).
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +30,7 @@ from farebox.session import scratch_path
 
 MIN_REVISIT_BYTES = 0
 SPLIT_BYTES = 8 * 1024 * 1024
+TASK_BYTES = 256 * 1024 * 1024   # ranges of a task, where there is enough to go round
 _MAGIC = b"\x1f\x8b\x08"
 _READ = 1 << 18
 _EMPTY_MEMBER = zlib.compressobj(1, zlib.DEFLATED, 31).flush()
@@ -84,17 +89,28 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
     packed.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\0").text(path)
 
 
-def byte_ranges(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> list[tuple[str, int, int]]:
-    """(file, start, end) of the archives under ``path``, from file metadata."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = []
-    for status in fs.listStatus(folder):
-        name, size = status.getPath().toString(), status.getLen()
-        if status.isFile() and not status.getPath().getName().startswith(("_", ".")):
-            out += [(name, at, min(at + split_bytes, size)) for at in range(0, size, split_bytes)]
-    return sorted(out)
+def task_count(total_bytes: int, cores: int, split_bytes: int = SPLIT_BYTES, task_bytes: int = TASK_BYTES) -> int:
+    """Tasks that the ranges are dealt to: of ``task_bytes`` each, smaller while that leaves cores idle, never under a range."""
+    return max(1, -(-total_bytes // max(split_bytes, min(task_bytes, total_bytes // max(1, 4 * cores)))))
+
+
+def byte_ranges(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """(uri, size, start, end) of the archives under ``path`` and its subfolders, from file metadata, dealt to tasks."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select(F.col("path").alias("uri"), F.col("length").alias("size")).where("size > 0"))  # contents are not read
+    total = files.agg(F.sum("size")).first()[0] or 0
+    ranges = files.select("uri", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split_bytes))).alias("start"))
+    return (ranges.withColumn("end", F.least(F.col("start") + split_bytes, "size"))
+            .repartition(task_count(total, spark.sparkContext.defaultParallelism, split_bytes)))
+
+
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_uri(uri: str) -> str:
+    """A Hadoop file URI as Arrow's file systems name it."""
+    scheme, found, rest = uri.partition(":")
+    return f"{_ARROW_SCHEMES.get(scheme, scheme)}:{rest}" if found else uri
 
 
 def _open(uri: str):
@@ -102,7 +118,7 @@ def _open(uri: str):
 
     if uri.startswith("file:"):
         return fs.LocalFileSystem().open_input_file(re.sub(r"^file:/*", "/", uri))
-    system, path = fs.FileSystem.from_uri(uri)
+    system, path = fs.FileSystem.from_uri(arrow_uri(uri))
     return system.open_input_file(path)
 
 
@@ -131,10 +147,17 @@ def _inflate(source, at: int, header_only: bool) -> tuple[bytes, int] | None:
     return (b"".join(parts), pos - len(unpacker.unused_data)) if not header_only else None
 
 
-def read_range(uri: str, start: int, end: int) -> Iterator[bytes]:
-    """Records whose member starts in [start, end)."""
+class Damage(NamedTuple):
+    """Bytes of a file that belong to no readable record, from ``offset``."""
+    uri: str
+    offset: int
+    reason: str
+
+
+def scan_range(uri: str, start: int, end: int, size: int) -> Iterator[bytes | Damage]:
+    """Records whose member starts in [start, end) of a file of ``size`` bytes, and the damage between and after them."""
     with _open(uri) as source:
-        at = start
+        at, due = start, 0 if start == 0 else None      # due: where the next member must start, if that is known
         while at < end:
             source.seek(at)
             window = source.read(min(_READ, end - at) + len(_MAGIC) - 1)
@@ -143,11 +166,39 @@ def read_range(uri: str, start: int, end: int) -> Iterator[bytes]:
                 at += max(1, len(window) - len(_MAGIC) + 1)
                 continue
             at += hit
-            if _inflate(source, at, header_only=True) is None or (got := _inflate(source, at, header_only=False)) is None:
+            if _inflate(source, at, header_only=True) is None:
+                at += 1
+                continue
+            if due is not None and at > due:
+                yield Damage(uri, due, "bytes of no record")
+            if (got := _inflate(source, at, header_only=False)) is None:
+                yield Damage(uri, at, "record does not decode")
+                due = None
                 at += 1
                 continue
             yield got[0]
-            at = got[1]
+            at = due = _past_empty(source, got[1])
+        if due is not None and (due < end or due < size and _inflate(source, due, header_only=True) is None):
+            yield Damage(uri, due, "bytes of no record")
+
+
+def read_range(uri: str, start: int, end: int) -> Iterator[bytes]:
+    """Records whose member starts in [start, end), damage skipped."""
+    return (r for r in scan_range(uri, start, end, end) if isinstance(r, bytes))
+
+
+def _past_empty(source, at: int) -> int:
+    """The offset after empty members at ``at`` (the writer's and other tools' padding)."""
+    while True:
+        source.seek(at)
+        head = source.read(64)
+        unpacker = zlib.decompressobj(31)
+        try:
+            if not head.startswith(_MAGIC) or unpacker.decompress(head) or not unpacker.eof:
+                return at
+        except zlib.error:
+            return at
+        at += len(head) - len(unpacker.unused_data)
 
 
 def parse(raw: bytes) -> dict:
@@ -164,28 +215,55 @@ def parse(raw: bytes) -> dict:
             "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha1:") if revisit else base32_sha1(payload)}
 
 
-def read_archives(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, with_payload: bool = True) -> DataFrame:
-    """Records under ``path``: page_id, url, record_type, refers_to, payload_bytes, payload_digest and, if asked for, payload."""
+def read_archives(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, with_payload: bool = True,
+                  on_damage: str = "raise") -> DataFrame:
+    """Records under ``path``: page_id, url, record_type, refers_to, payload_bytes, payload_digest and, if asked for, payload.
+
+    Damage raises with file and offset; with ``on_damage="skip"`` the records
+    around it come back, and :func:`damages` lists it.
+    """
+    if on_damage not in ("raise", "skip"):
+        raise ValueError("on_damage is raise or skip")
     bound_batches(spark)
-    ranges = byte_ranges(spark, path, split_bytes)
     names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest"] + ["payload"] * with_payload
     types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()] + [pa.binary()] * with_payload
 
+    def told(held):
+        return pa.RecordBatch.from_arrays([pa.array([r[n] for r in held], t) for n, t in zip(names, types)], names=names)
+
     def run(batches):
         for batch in batches:
-            for uri, start, end in zip(*(batch.column(c).to_pylist() for c in ("uri", "start", "end"))):
+            for given in zip(*(batch.column(c).to_pylist() for c in ("uri", "start", "end", "size"))):
                 held, size = [], 0
-                for raw in read_range(uri, start, end):
+                for raw in scan_range(*given):
+                    if isinstance(raw, Damage):
+                        if on_damage == "raise":
+                            raise ValueError(f"{raw.uri} at {raw.offset}: {raw.reason}")
+                        continue
                     held.append(parse(raw))
                     size += len(raw)
                     if size > 1 << 23:
-                        yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in held], t) for n, t in zip(names, types)], names=names)
+                        yield told(held)
                         held, size = [], 0
-                yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in held], t) for n, t in zip(names, types)], names=names)
+                yield told(held)
 
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
-    work = spark.createDataFrame(spark.sparkContext.parallelize(ranges, max(1, len(ranges))), "uri string, start long, end long")
-    return work.mapInArrow(run, schema + ", payload binary" * with_payload)
+    return byte_ranges(spark, path, split_bytes).mapInArrow(run, schema + ", payload binary" * with_payload)
+
+
+def damages(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """(file, offset, reason): every place under ``path`` where bytes belong to no readable record."""
+    bound_batches(spark)
+
+    def run(batches):
+        for batch in batches:
+            for given in zip(*(batch.column(c).to_pylist() for c in ("uri", "start", "end", "size"))):
+                found = [d for d in scan_range(*given) if isinstance(d, Damage)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([d[i] for d in found], t) for i, t in enumerate((pa.string(), pa.int64(), pa.string()))],
+                    names=["file", "offset", "reason"])
+
+    return byte_ranges(spark, path, split_bytes).mapInArrow(run, "file string, offset long, reason string").distinct()
 
 
 def round_trip(pages: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
