@@ -27,12 +27,12 @@ from farebox.llm.common import bound_batches, map_columns, materialize
 
 HELD_OUT = (4, 2)               # rows whose crc32(doc_id) mod 4 is 2 teach nothing
 LABELLED_ROWS = 20_000          # expected bound of the labelled sample for lexicon induction
-CLASSIFIER_ROWS = 40_000        # expected bound of the rows the linear classifier is fitted on
-LEXICON_SIZE = 2_000            # induced features kept
+CLASSIFIER_ROWS = 40_000        # expected bound of the distinct texts the linear classifier is fitted on
 PREFIXES = (3, 4, 5, 6, 7)
 THRESHOLD = 0.3
 COUNT_STEPS = (2, 4)            # a feature found so often sets further inputs
-MEMO_WORDS = 300_000
+MEMO_WORDS = 300_000            # words kept by a Python worker, of
+MEMO_KEY = 64                   # characters at most (base64 or lines without white space are looked up each time)
 
 # Seed lexicons of insults by language.
 SEED_LEXICONS = {
@@ -86,7 +86,8 @@ class Featurizer:
             found = memo.get(word)
             if found is None:
                 found = tuple(i for f in word_features(word) if (i := self.index.get(f)) is not None)
-                memo[word] = found
+                if len(word) <= MEMO_KEY:
+                    memo[word] = found
             for i in found:
                 out[i] = out.get(i, 0) + n
         return out
@@ -106,8 +107,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROW
             .select("text", F.col("__toxic").alias("toxic")))
 
 
-def induce_lexicon(sample: DataFrame, size: int = LEXICON_SIZE) -> tuple[list[tuple[str, int, int]], int, int]:
-    """The ``size`` features that mark toxic documents most: (feature, toxic docs, other docs); and both class sizes."""
+def induce_lexicon(sample: DataFrame) -> tuple[list[tuple[str, int, int]], int, int]:
+    """Every feature that marks toxic documents (in 3 of them at least, at 4 times the others' rate): (feature, toxic
+    docs, other docs); and both class sizes.  Bounded by the labelled sample, with which it grows."""
 
     def run(batch):
         seen = [Counter(), Counter()]
@@ -125,9 +127,8 @@ def induce_lexicon(sample: DataFrame, size: int = LEXICON_SIZE) -> tuple[list[tu
     p1 = (F.col("n1") + 0.5) / (n1 + 1.0)
     p0 = (F.col("n0") + 0.5) / (n0 + 1.0)
     best = (counts.where((F.col("n1") >= 3) & (p1 >= 4 * p0))
-            .select("feature", "n1", "n0", (p1 * F.log(p1 / p0)).alias("gain"))
-            .orderBy(F.desc("gain"), "feature").limit(size))
-    return [(r.feature, int(r.n1), int(r.n0)) for r in best.collect()], n1, n0
+            .select("feature", "n1", "n0"))
+    return sorted((r.feature, int(r.n1), int(r.n0)) for r in best.collect()), n1, n0
 
 
 class LabelModel:
@@ -249,7 +250,9 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
         [(r.votes, float(p)) for r, p in zip(found, model.posterior(patterns))], "votes int, p double")
     vocabulary = [t for f in range(len(names)) for t in [f"{f}"] + [f"{f}#{s}" for s in COUNT_STEPS]]
     counter = CountVectorizerModel.from_vocabulary(vocabulary, "tokens", "features", minTF=1.0, binary=True)
-    train = (pool.where(_sampled(F.monotonically_increasing_id(), rows, classifier_rows))
+    texts = pool.select("key").distinct().count()
+    # by the text's hash, each text once: neither copies nor files nor partitions change what is drawn
+    train = (pool.where(_sampled(F.col("key"), texts, classifier_rows)).dropDuplicates(["key"])
              .join(F.broadcast(posterior), "votes")
              .select("tokens", "p", F.explode(F.array(F.lit(0.0), F.lit(1.0))).alias("label"))
              .withColumn("weight", F.when(F.col("label") == 1, F.col("p")).otherwise(1 - F.col("p")))
