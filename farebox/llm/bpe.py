@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from farebox.llm.common import map_columns
 
-MEMO_CHUNKS = 300_000
+MEMO_CHUNKS = 300_000    # resolved chunks kept by a Python worker between batches, of
+MEMO_KEY = 64            # characters at most (lines without white space are resolved again in the next batch)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _WIDE_GAP = re.compile(r" \s|\s ")
 
@@ -140,6 +141,7 @@ class Codec:
         self.rank = {self.tokens[i]: i for i in self.ids}
         self.inner: dict[str, tuple[int, ...]] = {}   # chunk that follows a space -> ids with that space
         self.merged: dict[bytes, tuple[int, ...]] = {}   # pre-token -> ids
+        self.long: list[str | bytes] = []                # keys of either that go with the batch
 
     def __getstate__(self):
         return {"tokens": self.tokens, "pattern": self.pattern, "ids": self.ids, "known": self.known}
@@ -153,6 +155,7 @@ class Codec:
         found = self.merged
         new = list(set(itertools.chain.from_iterable(pieces)).difference(found))
         if new:
+            self.long += [p for p in new if len(p) > MEMO_KEY]
             for piece, k in zip(new, self.known.candidates(new).tolist()):
                 token = self.ids[k]
                 found[piece] = (token,) if self.tokens[token] == piece else merge_bytes(piece, self.rank)
@@ -164,8 +167,12 @@ class Codec:
             self.inner = {}
         if len(self.merged) > MEMO_CHUNKS:
             self.merged = {}
+        for key in self.long:
+            (self.inner if isinstance(key, str) else self.merged).pop(key, None)
+        self.long = []
         parts = [[t or ""] if not t or _WIDE_GAP.search(t) else t.split(" ") for t in texts]
         missing = list(set(itertools.chain.from_iterable(p[1:] for p in parts)).difference(self.inner))
+        self.long += [c for c in missing if len(c) > MEMO_KEY]
         for at in range(0, len(missing), 65536):
             some = missing[at:at + 65536]
             self.inner.update(zip(some, self._resolve([" " + c for c in some])))

@@ -31,7 +31,8 @@ from farebox.operators.enrich import checked_broadcast
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
-MEMO_WORDS = 500_000
+MEMO_WORDS = 500_000        # words kept by a Python worker between batches, of
+MEMO_KEY = 64               # bytes at most (lines without white space are tokenised again in the next batch)
 SMALL = 50                  # distinct texts at which a cell's band is half its group's, and a group's band twice as wide
 # Measure -> (lowest, highest, least spread): band in spreads around the median.
 BANDS = {"chars_per_token": (-1.2, 4.0, 0.05), "chars_per_token_2": (-1.6, 5.0, 0.05),
@@ -58,6 +59,7 @@ class Fertility:
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.second = tiktoken.Encoding("second", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+        self.long: list[bytes] = []
         self.memo: dict[bytes, tuple[bytes, int]] = {}  # word -> piece ids (16 bits each), length in the second vocabulary
 
     @staticmethod
@@ -97,7 +99,10 @@ class Fertility:
         parts = [self.base(t or "") for t in texts]
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
+        for word in self.long:
+            self.memo.pop(word, None)
         new = list(set(chain.from_iterable(d for _, _, d in parts)).difference(self.memo))
+        self.long = [word for word in new if len(word) > MEMO_KEY]
         for at in range(0, len(new), 65536):
             self._learn(new[at:at + 65536])
         return [self._fertility(*part) for part in parts]
