@@ -57,6 +57,14 @@ def validate_hyperparameters(hp: Hyperparameters) -> Hyperparameters:
     return hp
 
 
+def validate_runs(runs: DataFrame) -> DataFrame:
+    """M7 over a table of runs: ``accepted``, and ``outside`` (names of the hyperparameters out of range or null, in order)."""
+    wrong = [F.when(~F.coalesce(F.col(name).between(low, high), F.lit(False)), F.lit(name))
+             for name, (low, high) in HYPERPARAMETER_RANGES.items()]
+    outside = F.array_join(F.array_compact(F.array(*wrong)), ",")
+    return runs.withColumns({"accepted": outside == "", "outside": outside})
+
+
 def feature_columns(df: DataFrame, label: str) -> list[str]:
     """All columns but the label (the reference's "everything after column 0")."""
     return [c for c in df.columns if c != label]

@@ -26,6 +26,7 @@ from farebox.operators import explain as EX
 from farebox.operators import features as FS
 from farebox.operators import labeling as LB
 from farebox.operators import learn as L
+from farebox.operators import positions as PO
 from farebox.operators import runs as R
 from farebox.operators import sampling as S
 from farebox.operators import tree_shap as TS
@@ -573,6 +574,47 @@ def q_s6(spark, d):
     return RD.read_csv(spark, path, header=False, schema=_B_SCHEMA)
 
 
+@register("k7_s3_visual_flow_csv", with_ctes(
+    "SELECT * EXCLUDE (store_and_fwd_flag, mta_tax, improvement_surcharge) FROM (SELECT DISTINCT * FROM trips_dup)",
+    "trips_dup"))
+def q_k7(spark, d):
+    """The flow's last node written as CSV and read back with inference (times without zone)."""
+    path = WR.write_csv(M.visual_flow(X.trips_dup(spark, d)), scratch_path(spark, "visual_flow_csv"))
+    back = RD.read_csv(spark, path, header=True, infer=True)
+    return back.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in back.dtypes])
+
+
+@register("s12b_first_rows_in_file_order", "SELECT event_id, event_type, event_id - (SELECT min(event_id) FROM events) AS position "
+          "FROM events ORDER BY event_id LIMIT 300")
+def q_s12b(spark, d):
+    """The first rows as the files hold them (events are stored in order of their ids)."""
+    return PO.first_rows(PO.read_positions(spark, f"{d.rstrip('/')}/events.parquet", ["event_id", "event_type"]), 300)
+
+
+@register("m2b_split_by_position", with_ctes("""
+    SELECT trip_key, position, CASE WHEN position < floor(0.70 * n) THEN 'train' WHEN position < floor(0.85 * n) THEN 'validation'
+                               ELSE 'test' END AS split
+    FROM (SELECT trip_key, row_number() OVER (ORDER BY trip_key) - 1 AS position, count(*) OVER () AS n FROM ds_b)""", "ds_b"))
+def q_m2b(spark, d):
+    """70/15/15 by position with exact sizes, over the rows that are left after the filters."""
+    return PO.split_by_position(PO.dense_positions(dataset_b(spark, d).select("trip_key"), "trip_key"))
+
+
+@register("m7_validate_runs", """
+    SELECT l_orderkey, l_linenumber, learning_rate, n_estimators, max_depth, outside = '' AS accepted, outside FROM (
+        SELECT *, concat_ws(',', CASE WHEN NOT learning_rate BETWEEN 0.0001 AND 1 THEN 'learning_rate' END,
+                            CASE WHEN NOT n_estimators BETWEEN 1 AND 1000 THEN 'n_estimators' END,
+                            CASE WHEN NOT max_depth BETWEEN 1 AND 20 THEN 'max_depth' END) AS outside
+        FROM (SELECT l_orderkey, l_linenumber, l_discount AS learning_rate, CAST(l_quantity * 25 AS INTEGER) AS n_estimators,
+                     l_linenumber * 4 AS max_depth FROM lineitem))""")
+def q_m7(spark, d):
+    """A table of runs (one per line item, its numbers as hyperparameters) with those outside the accepted ranges named."""
+    rows = X.table(spark, d, "lineitem")
+    return L.validate_runs(rows.select(
+        "l_orderkey", "l_linenumber", F.col("l_discount").alias("learning_rate"),
+        (F.col("l_quantity") * 25).cast("int").alias("n_estimators"), (F.col("l_linenumber") * 4).alias("max_depth")))
+
+
 @register("s8_infer_and_cast", "SELECT * FROM events")
 def q_s8(spark, d):
     ev = X.table(spark, d, "events")

@@ -108,19 +108,6 @@ def list_files(spark: SparkSession, path: str, suffix: str = "", non_empty: bool
     return sorted(out)
 
 
-def first_line(spark: SparkSession, file: str) -> str | None:
-    """First line of one file through the Hadoop filesystem (reads a few bytes, not the file)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(file)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.open(hpath)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
-    finally:
-        stream.close()
-
-
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total bytes under the given paths from filesystem metadata (no data is read)."""
     jvm = spark.sparkContext._jvm

@@ -8,12 +8,13 @@ extra pass over the data.
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.session import first_line, list_files, path_exists
+from farebox.session import path_exists, scratch_path
 
 
 def read_parquet(spark: SparkSession, path: str | list[str], recursive: bool = False,
@@ -55,27 +56,48 @@ def read_csv(spark: SparkSession, path: str, header: bool = True, schema: T.Stru
     return reader.csv(path)
 
 
-def csv_files(spark: SparkSession, path: str) -> list[str]:
-    """The non-empty ``*.csv`` files of a channel directory (writers leave empty parts behind)."""
-    files = list_files(spark, path, ".csv", non_empty=True) if path and path_exists(spark, path) else []
-    if not files:
-        raise FileNotFoundError(f"nothing to read in {path!r}")
-    return files
+_ONE_FILE_A_TASK = str(1 << 40)   # above any file's size: files are neither split nor packed
+
 
+def first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line): the first line of every non-empty ``*.csv`` file of a directory, written.
 
-def channel_layouts(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...] | int, list[str]]:
+    One task per file reads its first rows and stops; the driver opens no file.
+    """
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in sizes}
+    out = scratch_path(spark, "first_lines")
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    rows = spark.read.option("pathGlobFilter", "*.csv").text(path).select(F.col("_metadata.file_path").alias("file"),
+                                                                          F.col("value").alias("line"))
+    try:
+        for k in sizes:
+            spark.conf.set(k, _ONE_FILE_A_TASK)
+        rows.mapInArrow(run, "file string, line string").write.parquet(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return spark.read.schema("file string, line string").parquet(out)
+
+
+def channel_layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...] | int, list[str]]:
     """S7 helper: files by layout, which is the header's names, or the number of columns of a file without one.
 
     A first line is a header if a token neither casts to a number nor is empty (a missing
-    value).  One line per file is read.
+    value).  Layouts are reduced in Spark; the driver gets them and the names of their files.
     """
-    lines = spark.createDataFrame([(f, first_line(spark, f) or "") for f in files], "file string, line string")
     tokens = F.transform(F.split(F.trim("line"), ","), F.trim)
-    layouts: dict[tuple[str, ...] | int, list[str]] = {}
-    for row in lines.select("file", tokens.alias("tokens"), F.exists(
-            tokens, lambda t: (t != "") & t.try_cast("double").isNull()).alias("header")).collect():
-        layouts.setdefault(tuple(row.tokens) if row.header else len(row.tokens), []).append(row.file)
-    return layouts
+    header = F.exists(tokens, lambda t: (t != "") & t.try_cast("double").isNull())
+    found = (first_lines(spark, path)
+             .select("file", F.when(header, tokens).alias("names"), F.size(tokens).alias("width"))
+             .groupBy("names", "width").agg(F.sort_array(F.collect_list("file")).alias("files")))
+    return {tuple(r.names) if r.names is not None else r.width: [unquote(f) for f in r.files] for r in found.collect()}
 
 
 def read_channel(spark: SparkSession, path: str) -> DataFrame:
@@ -83,9 +105,11 @@ def read_channel(spark: SparkSession, path: str) -> DataFrame:
 
     Files whose headers list the same names in another order are read by name.
     Columns of files without header are ``_c0, _c1, ...`` (``_c0`` is the label).  A
-    channel whose files disagree otherwise raises.
+    channel whose files disagree otherwise raises, as does one without a non-empty file.
     """
-    layouts = channel_layouts(spark, csv_files(spark, path))
+    layouts = channel_layouts(spark, path) if path and path_exists(spark, path) else {}
+    if not layouts:
+        raise FileNotFoundError(f"nothing to read in {path!r}")
     kinds = {k if isinstance(k, int) else tuple(sorted(k)) for k in layouts}
     if len(kinds) > 1:
         raise ValueError(f"files of {path!r} have different columns: {sorted(map(str, kinds))}")
