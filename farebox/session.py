@@ -8,6 +8,7 @@ and finds the shared folder used for written intermediates.
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -32,7 +33,16 @@ EXECUTION_CONF = {
 }
 
 
+def _workers_find_package(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver did (on a cluster: where it is installed alike)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def configure(spark: SparkSession) -> SparkSession:
+    _workers_find_package(spark)
     for k, v in {**SEMANTIC_CONF, **EXECUTION_CONF}.items():
         spark.conf.set(k, v)
     return spark

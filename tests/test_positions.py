@@ -65,3 +65,22 @@ def test_runs_outside_their_ranges_are_named(spark):
     got = [(r["accepted"], r["outside"]) for r in L.validate_runs(df).collect()]
     assert got == [(True, ""), (True, ""), (False, "learning_rate"), (False, "n_estimators,max_depth"), (False, "learning_rate"),
                    (False, "learning_rate,n_estimators,max_depth")]
+
+
+def test_duplicates_by_digest_equal_distinct_rows(spark, monkeypatch):
+    from farebox.operators import aggregate as A
+
+    nan = float("nan")
+    rows = [(1, None, 0.0), (None, 1, 0.0), (1, None, -0.0), (1, 1, nan), (1, 1, nan), (1, 1, None)] * 3 + [(i, i, 1.0) for i in range(50)]
+    df = spark.createDataFrame(rows, "a int, b int, c double").repartition(5)
+    want = sorted(map(repr, df.distinct().collect()))
+    assert sorted(map(repr, A.drop_duplicates(df).collect())) == want
+    plan = A.drop_duplicates(df)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    monkeypatch.setattr(A, "MAX_REPEATED_DIGESTS", 1)
+    assert sorted(map(repr, A.drop_duplicates(df).collect())) == want
+    monkeypatch.undo()
+    # digests that clash: every row looks repeated, and columns still decide
+    monkeypatch.setattr(A.F, "xxhash64", lambda *c: A.F.lit(7))
+    assert sorted(map(repr, A.drop_duplicates(df).collect())) == want
+    assert A.drop_duplicates(df.limit(0)).count() == 0
