@@ -17,8 +17,8 @@ and only y (one number per domain) comes from the driver: a rate is replayed
 from the document's own membership and the steps so far, so nothing per document
 is kept between passes, and a lost executor costs only its own batches.  The fit
 ends where what is missing of every goal is under ``TOLERANCE``, or, where goals
-out of reach are missed by more than ``MISSED``, where the projected gradient is
-under ``STILL``; it raises if neither comes.
+missed by more than ``MISSED`` come no nearer (out of reach), where the projected
+gradient is under ``STILL``; it raises if neither comes.
 
 A domain that hardly occurs cannot be brought up to its target without repeating
 its few documents many times.  ``goals_of`` says what such domains get instead,
@@ -46,7 +46,8 @@ LABELLED_ROWS = 12_000     # expected bound of the labelled sample the classifie
 WORD_BUCKETS = 4096
 TOLERANCE = 1e-6           # of a domain's tokens: where the fit ends if the goals can be met
 STILL = 1e-3               # length of the projected gradient, of that of the rates: where it ends if they can't
-MISSED = 0.02
+MISSED = 0.02              # a goal further off than this, and STALL passes long not 5 % nearer, is out of reach
+STALL = 15
 MAX_PASSES = 200           # bound of passes, beyond which the fit fails (2 to 10 are usual, 40 to 100 with goals out of reach)
 # A domain grows to its target if its present share is at least SCARCE of it (so by 1 / SCARCE at most); at
 # ABSENT of it or less it has no goal; in between the growth allowed falls linearly to 1.
@@ -269,13 +270,18 @@ def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, scarce_at
         shared.unpersist()
         return got[:k], got[k:2 * k], *got[2 * k:]
 
-    age, momentum, at_next = 1.0, 0.0, totals
+    age, momentum, at_next, history = 1.0, 0.0, totals, []
     for _ in range(MAX_PASSES):
         model.steps.append((momentum, np.where(used, weight @ np.where(used, at_next - goals, 0.0), 0.0)))
         older, age = age, (1 + math.sqrt(1 + 4 * age * age)) / 2
         model.reached, at_next, moved, length, against = passed((older - 1) / age)
         missed = np.where(used, np.abs(model.reached - goals), 0.0)
-        if (missed <= enough).all() or moved <= STILL ** 2 * length and (missed > MISSED * goals).any():
+        if (missed <= enough).all():
+            return model
+        history.append(missed)
+        far = missed > MISSED * goals
+        stuck = len(history) > STALL and (missed >= 0.95 * history[-1 - STALL])[far].all() and far.any()
+        if stuck and moved <= STILL ** 2 * length:
             return model
         momentum = (older - 1) / age
         if against > 0:                         # the step went against the last change: start the momentum anew
