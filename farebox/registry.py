@@ -592,7 +592,7 @@ def q_s12b(spark, d):
 
 
 @register("m2b_split_by_position", with_ctes("""
-    SELECT trip_key, position, CASE WHEN position < floor(0.70 * n) THEN 'train' WHEN position < floor(0.85 * n) THEN 'validation'
+    SELECT trip_key, position, CASE WHEN position < floor(CAST(0.70 AS DOUBLE) * n) THEN 'train' WHEN position < floor(CAST(0.85 AS DOUBLE) * n) THEN 'validation'
                                ELSE 'test' END AS split
     FROM (SELECT trip_key, row_number() OVER (ORDER BY trip_key) - 1 AS position, count(*) OVER () AS n FROM ds_b)""", "ds_b"))
 def q_m2b(spark, d):
