@@ -44,11 +44,11 @@ from farebox.llm.common import bound_batches, map_columns, materialize, words
 TARGETS = {"prose": 0.92, "junk": 0.07, "toxic": 0.01}
 LABELLED_ROWS = 12_000     # expected bound of the labelled sample the classifier is fitted on
 WORD_BUCKETS = 4096
-TOLERANCE = 1e-6           # of a domain's tokens: where the fit ends if the goals can be met
+TOLERANCE = 1e-4           # of a domain's tokens: where the fit ends if the goals can be met
 STILL = 1e-3               # length of the projected gradient, of that of the rates: where it ends if they can't
 MISSED = 0.02              # a goal further off than this, and STALL passes long not 5 % nearer, is out of reach
 STALL = 15
-MAX_PASSES = 200           # bound of passes, beyond which the fit fails (2 to 10 are usual, 40 to 100 with goals out of reach)
+MAX_PASSES = 500           # bound of passes, beyond which the fit fails (2 to 50 are usual, 100 and more with goals out of reach)
 # A domain grows to its target if its present share is at least SCARCE of it (so by 1 / SCARCE at most); at
 # ABSENT of it or less it has no goal; in between the growth allowed falls linearly to 1.
 SCARCE, ABSENT = 0.25, 0.05
