@@ -4,9 +4,10 @@ The training rows are binned once (bin edges are quantiles of the rows) and
 written as one block of small integers per partition.  All trials then grow
 their trees level by level together: one job per level, in which each
 partition adds up the gradients and Hessians of its rows per (trial, node,
-feature, bin) and the partial histograms are summed in a tree of tasks.  The
-driver sees histograms only (bounded by trials x nodes x features x bins) and
-picks the splits; rows and their margins stay in the partitions.
+feature, bin); the partial histograms of a node are shuffled to one task, which
+sums them in order of their partitions and picks the node's split.  The driver
+gets splits only, a few numbers per node, however many rows, partitions,
+features and bins there are; rows and their margins stay in the partitions.
 
 Margins are updated once a tree and kept with their blocks; every
 ``CHECKPOINT_TREES`` trees they are written to the shared folder and read back,
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
@@ -35,6 +37,8 @@ L2 = 1.0
 MIN_ROWS = 1          # rows a child must hold
 MIN_GAIN = 1e-9
 CHECKPOINT_TREES = 25
+_NODES_A_TASK = 8     # nodes whose histograms one task sums and splits
+_FAN_IN = 64          # partial histograms summed at once
 _TIE = 1e-12          # gains this close (relative) are one: the first feature and bin wins
 
 
@@ -102,10 +106,9 @@ def _gradients(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _histograms(block, trees: list[tuple[list[list], list[int]]], width: int):
-    """(3, cells) of a block: gradients, Hessians and rows per trial, open node, feature and bin."""
+    """((trial, i), (3, features, bins)) of a block for each trial's i-th open node: gradients, Hessians and rows."""
     bins, y, margins = block
     n, p = bins.shape
-    parts = []
     columns = [bins[:, j].astype(np.int64) for j in range(p)]
     for t, (nodes, opened) in enumerate(trees):
         if not opened:
@@ -119,13 +122,39 @@ def _histograms(block, trees: list[tuple[list[list], list[int]]], width: int):
         some = slice(None) if rows.all() else rows
         node, g, h = node[some] * width, g[some], h[some]
         size = len(opened) * width
-        out = np.zeros((3, len(opened), p, width))
+        out = np.zeros((len(opened), 3, p, width))
         for j in range(p):
             cell = node + columns[j][some]
             for k, w in enumerate((g, h, None)):
-                out[k, :, j, :] = np.bincount(cell, weights=w, minlength=size)[:size].reshape(len(opened), width)
-        parts.append(out.reshape(3, -1))
-    return np.concatenate(parts, axis=1) if parts else np.zeros((3, 0))
+                out[:, k, j, :] = np.bincount(cell, weights=w, minlength=size)[:size].reshape(len(opened), width)
+        yield from (((t, i), one) for i, one in enumerate(out))
+
+
+def _level_splits(state, asked: list[tuple[list[list], list[int]]], edges: list[list[float]], width: int) -> dict:
+    """{(trial, i): (sums of the node, its split or None)} for each trial's i-th open node, summed and chosen in tasks.
+
+    Partial histograms are added in order of their partitions, so a run gives the same trees again.
+    """
+    parts = state.getNumPartitions()
+    tasks = -(-sum(len(opened) for _, opened in asked) // _NODES_A_TASK)
+    tasks = max(1, min(tasks, max(parts, state.context.defaultParallelism)))
+
+    def in_order(found):
+        return reduce(np.add, [one for _, one in sorted(found, key=lambda x: x[0])])
+
+    sums = state.mapPartitionsWithIndex(lambda number, blocks: (
+        (key, (number, one)) for block in blocks for key, one in _histograms(block, asked, width)))
+    while parts > _FAN_IN:                  # first sums of neighbours, so that no task holds all partitions' histograms
+        sums = (sums.map(lambda x: ((x[0], x[1][0] // _FAN_IN), x[1])).groupByKey(max(tasks, -(-parts // _FAN_IN)))
+                .map(lambda x: (x[0][0], (x[0][1], in_order(x[1])))))
+        parts = -(-parts // _FAN_IN)
+
+    def choose(found):
+        hist = in_order(found)
+        best = best_split(hist, edges)
+        return hist[:, 0, :].sum(axis=1).tolist(), best and (*best[:3], best[3].tolist(), best[4].tolist())
+
+    return dict(sums.groupByKey(tasks).mapValues(choose).collect())
 
 
 def best_split(hist: np.ndarray, edges: list[list[float]], min_rows: int = MIN_ROWS):
@@ -146,7 +175,7 @@ def best_split(hist: np.ndarray, edges: list[list[float]], min_rows: int = MIN_R
     return best
 
 
-def _leaf(sums: np.ndarray, rate: float) -> float:
+def _leaf(sums: list[float], rate: float) -> float:
     return float(-rate * sums[0] / (sums[1] + L2))
 
 
@@ -169,28 +198,23 @@ def fit_trials(df: DataFrame, features: list[str], label: str, trials: list[Tria
         raise ValueError("no training rows")
     rate = min(max(positive / rows, 1e-6), 1 - 1e-6)
     start = math.log(rate / (1 - rate))
-    n_trials, p = len(trials), len(features)
+    n_trials = len(trials)
     state = raw.map(lambda b: (b[0], b[1], np.full((n_trials, len(b[1])), start))).persist(StorageLevel.MEMORY_AND_DISK)
     done: list[list[list[list]]] = [[] for _ in trials]
     retired: list = []
-    depth_of_sums = 1 if raw.getNumPartitions() <= 32 else 2   # a second round of tasks only where there are many histograms
     for number in range(max((t.n_trees for t in trials), default=0)):
         growing = [_Growing.new(t) if number < t.n_trees else _Growing(t, [[-1, 0, 0, 0, 0.0, 0.0]], []) for t in trials]
         for depth in range(max(t.max_depth for t in trials)):
             asked = [(g.nodes, g.open if depth < g.trial.max_depth else []) for g in growing]
             if not any(o for _, o in asked):
                 break
-            sums = state.map(lambda b, asked=asked: _histograms(b, asked, width)).treeReduce(np.add, depth_of_sums)
-            at = 0
-            for g, (_, opened) in zip(growing, asked):
-                size = len(opened) * p * width
-                hist = sums[:, at:at + size].reshape(3, len(opened), p, width)
-                at += size
+            chosen = _level_splits(state, asked, edges, width)
+            for t, (g, (_, opened)) in enumerate(zip(growing, asked)):
                 fresh = []
                 for i, node in enumerate(opened):
+                    total, found = chosen[t, i]
                     if not depth:
-                        g.nodes[node][4] = _leaf(hist[:, i, 0, :].sum(axis=1), g.trial.learning_rate)
-                    found = best_split(hist[:, i], edges)
+                        g.nodes[node][4] = _leaf(total, g.trial.learning_rate)
                     if found is None:
                         continue
                     feature, cut, gain, left, right = found
