@@ -9,6 +9,8 @@ inside each range, with offsets from a table of one row per range.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -151,37 +153,50 @@ def distinct_categories(df: DataFrame, columns: list[str], max_categories: int =
 def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
     """One row per column: non-null count, null count, distinct count, min, max (as text).
 
-    Counts and bounds of all columns come from a single aggregate job; the wide
-    result is turned long with ``stack``.  The exact distinct count is one more
-    pass over (column, value) pairs, deduplicated inside each task first: several
-    ``count(DISTINCT)`` in one aggregate would copy every whole row per column.
+    Approximate distinct counts: one aggregate job, whose wide result is turned long
+    with ``stack``.  Exact ones: see :func:`exact_profile`.
     """
+    if exact_distinct:
+        return exact_profile(df)
     aggs = []
     for c in df.columns:
         col = F.col(c)
-        nd = F.lit(None).cast("long") if exact_distinct else F.approx_count_distinct(col)
         aggs += [F.count(col).alias(f"{c}__nn"), F.count_if(col.isNull()).alias(f"{c}__nul"),
-                 nd.alias(f"{c}__nd"), F.min(col).cast("string").alias(f"{c}__min"),
+                 F.approx_count_distinct(col).alias(f"{c}__nd"), F.min(col).cast("string").alias(f"{c}__min"),
                  F.max(col).cast("string").alias(f"{c}__max")]
     wide = df.agg(*aggs)
     parts = ", ".join(
         f"'{c}', `{c}__nn`, `{c}__nul`, `{c}__nd`, `{c}__min`, `{c}__max`" for c in df.columns)
-    out = wide.selectExpr(
+    return wide.selectExpr(
         f"stack({len(df.columns)}, {parts}) AS (column_name, non_null, nulls, distinct_values, min_value, max_value)")
-    return out if not exact_distinct else out.drop("distinct_values").join(
-        distinct_counts(df), "column_name", "left").select(
-        "column_name", "non_null", "nulls", F.coalesce("distinct_values", F.lit(0).cast("long")).alias("distinct_values"),
-        "min_value", "max_value")
-
-
-def distinct_counts(df: DataFrame) -> DataFrame:
-    """``(column_name, distinct_values)``: non-null distinct values per column that has any."""
-    def text(name: str, dtype: str):
-        col = F.col(name)
-        if dtype == "binary":
-            return F.hex(col)
-        return (col + F.lit(0.0) if dtype in ("float", "double") else col).cast("string")  # -0.0 equals 0.0
-
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), text(c, t).alias("v")) for c, t in df.dtypes])).alias("p")
-    values = df.select(pairs).where("p.v IS NOT NULL").groupBy("p.c", "p.v").agg(F.count(F.lit(1)))
-    return values.groupBy(F.col("c").alias("column_name")).agg(F.count(F.lit(1)).alias("distinct_values"))
+
+
+# Types whose values are grouped and compared as they are; others are counted by their text, as equal values may differ in it.
+_OWN_VALUES = ("boolean", "tinyint", "smallint", "int", "bigint", "string", "binary", "date", "timestamp", "timestamp_ntz")
+
+
+def exact_profile(df: DataFrame) -> DataFrame:
+    """A7 with exact distinct counts: one grouping per column over its own values, which gives all of the column's numbers.
+
+    Values are counted inside each task first, so a column of few values costs a
+    look-up per row; no row is copied or turned into text.  Each grouping reads its
+    column alone from a table; write a frame that is costly to compute as a table
+    first (:func:`materialize`).
+    """
+    def one(name: str, dtype: str) -> DataFrame:
+        raw = F.col(f"`{name}`")
+        if dtype in _OWN_VALUES or dtype.startswith("decimal"):
+            v, low, high = raw, F.col("v"), F.col("v")
+            groups = df.select(v.alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        else:       # floats are grouped with -0.0 as 0.0, but keep their bounds
+            v, low, high = raw if dtype in ("float", "double") else raw.cast("string"), F.col("low"), F.col("high")
+            groups = df.select(v.alias("v"), raw.alias("x")).groupBy("v").agg(
+                F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+        there = F.col("v").isNotNull()
+        return groups.agg(
+            F.coalesce(F.sum(F.when(there, F.col("n"))), F.lit(0)).cast("long").alias("non_null"),
+            F.coalesce(F.sum(F.when(~there, F.col("n"))), F.lit(0)).cast("long").alias("nulls"),
+            F.count("v").alias("distinct_values"), F.min(low).cast("string").alias("min_value"),
+            F.max(high).cast("string").alias("max_value")).select(F.lit(name).alias("column_name"), "*")
+
+    return reduce(DataFrame.unionAll, [one(c, t) for c, t in df.dtypes])

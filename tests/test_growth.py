@@ -5,6 +5,7 @@ import pickle
 from pyspark import RDD
 from pyspark.sql import functions as F
 
+from farebox.operators import aggregate as A
 from farebox.operators import boost
 
 
@@ -30,3 +31,14 @@ def test_boosting_sends_splits_to_the_driver_and_no_histograms(spark, monkeypatc
     monkeypatch.setattr(boost, "_FAN_IN", 2)            # sums of sums of neighbouring partitions
     monkeypatch.setattr(boost, "_NODES_A_TASK", 1)
     assert fit(9)[0] == few
+
+
+def test_exact_profile_copies_no_row_and_makes_no_text(spark):
+    df = spark.createDataFrame([(1, "a", -0.0, [1.0], b"\x01", None), (None, "b", -0.0, [1.0], b"\x02", None), (3, None, None, None, b"\x02", None),
+                                (3, "b", float("nan"), [2.0], None, None)],
+                               "`x.y` int, s string, d double, a array<double>, b binary, none timestamp")
+    got = A.profile(df, exact_distinct=True)
+    assert [tuple(r)[:4] for r in got.collect()] == [("x.y", 3, 1, 2), ("s", 3, 1, 2), ("d", 3, 1, 2), ("a", 3, 1, 2), ("b", 3, 1, 2), ("none", 0, 4, 0)]
+    assert [tuple(r)[4:] for r in got.collect()][:4] == [("1", "3"), ("a", "b"), ("-0.0", "NaN"), ("[1.0]", "[2.0]")]
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r)[1:] for r in A.profile(df.limit(0), exact_distinct=True).collect()} == {(0, 0, 0, None, None)}
