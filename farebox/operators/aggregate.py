@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from farebox.session import scratch_path
 
 
-MAX_REPEATED_DIGESTS = 8_000_000   # 16 bytes each: at most 128 MB to broadcast
+MAX_REPEATED_DIGESTS = 16_000_000   # 8 bytes each: at most 128 MB to broadcast
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -40,9 +40,9 @@ def positive_rate(df: DataFrame, label: str = "high_tip") -> DataFrame:
 def drop_duplicates(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """A4: exact duplicate removal, by digest first.
 
-    128-bit digests of the rows (16 bytes each, combined before the shuffle)
-    tell which are repeated; only rows with a repeated digest are moved and
-    compared column by column, so equal digests of different rows do no harm.
+    64-bit digests of the rows (combined before the shuffle) tell which are
+    repeated; only rows with a repeated digest are moved and compared column by
+    column, so equal digests of different rows do no harm.
     The repeated digests are broadcast behind a size check; beyond it, and with
     ``subset``, whole rows go through the grouped aggregate, in which copies
     of a row also meet in the task that read them first.
@@ -50,13 +50,13 @@ def drop_duplicates(df: DataFrame, subset: list[str] | None = None) -> DataFrame
     if subset:
         return df.dropDuplicates(subset)
     columns = [F.col(f"`{c}`") for c in df.columns]
-    digest = F.struct(F.xxhash64(F.lit(1), *columns).alias("a"), F.xxhash64(F.lit(2), *columns).alias("b"))
-    repeated = df.groupBy(digest.alias("__digest")).agg(F.count("*").alias("n")).where("n > 1")
-    repeated = materialize(repeated.select(F.col("__digest.a").alias("__a"), F.col("__digest.b").alias("__b")), "repeated_digests")
+    digest = F.xxhash64(*columns)
+    repeated = df.groupBy(digest.alias("__repeated")).agg(F.count("*").alias("n")).where("n > 1")
+    repeated = materialize(repeated.select("__repeated"), "repeated_digests")
     if repeated.count() > MAX_REPEATED_DIGESTS:
         return df.dropDuplicates()
     marked = df.select("*", digest.alias("__digest"))
-    on = (F.col("__digest.a") == F.col("__a")) & (F.col("__digest.b") == F.col("__b"))
+    on = F.col("__digest") == F.col("__repeated")
     once = marked.join(F.broadcast(repeated), on, "left_anti").select(*columns)
     more = marked.join(F.broadcast(repeated), on, "left_semi").select(*columns)
     return once.unionAll(more.dropDuplicates())

@@ -578,8 +578,8 @@ def q_s6(spark, d):
     "SELECT * EXCLUDE (store_and_fwd_flag, mta_tax, improvement_surcharge) FROM (SELECT DISTINCT * FROM trips_dup)",
     "trips_dup"))
 def q_k7(spark, d):
-    """The flow's last node written as CSV and read back with inference (times without zone)."""
-    path = WR.write_csv(M.visual_flow(X.trips_dup(spark, d)), scratch_path(spark, "visual_flow_csv"))
+    """The flow's last node written as CSV (gzip parts) and read back with inference (times without zone)."""
+    path = WR.write_csv(M.visual_flow(X.trips_dup(spark, d)), scratch_path(spark, "visual_flow_csv"), compression="gzip")
     back = RD.read_csv(spark, path, header=True, infer=True)
     return back.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in back.dtypes])
 

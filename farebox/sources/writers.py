@@ -38,9 +38,12 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy", mode: s
     return path
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
-    """K3 / K4 / K7: a directory of CSV part files (not one file)."""
-    df.write.mode(mode).option("header", str(header).lower()).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", compression: str | None = None) -> str:
+    """K3 / K4 / K7: a directory of CSV part files (not one file), compressed by ``compression`` (e.g. ``gzip``) if given.
+
+    Compressed part files are read by Spark like plain ones, but each by one task.
+    """
+    df.write.mode(mode).option("header", str(header).lower()).option("compression", compression or "none").csv(path)
     return path
 
 
