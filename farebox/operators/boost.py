@@ -1,7 +1,7 @@
 """Gradient-boosted trees for several trials in shared passes over the data.
 
-The training rows are binned once (bin edges are quantiles of the rows) and
-written as one block of small integers per partition.  All trials then grow
+All training rows are binned once (bin edges are quantiles of the rows) and
+written as blocks of small integers.  All trials then grow
 their trees level by level together: one job per level, in which each
 partition adds up the gradients and Hessians of its rows per (trial, node,
 feature, bin); the partial histograms of a node are shuffled to one task, which
@@ -21,15 +21,17 @@ Second-order boosting with log loss: a leaf's value is
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farebox.functions.ensembles import Ensemble, Tree
+from farebox.functions.ensembles import Ensemble, Tree, matrix
 from farebox.session import scratch_path
 
 BINS = 32
@@ -39,6 +41,10 @@ MIN_GAIN = 1e-9
 CHECKPOINT_TREES = 25
 _NODES_A_TASK = 8     # nodes whose histograms one task sums and splits
 _FAN_IN = 64          # partial histograms summed at once
+_BLOCK_ROWS = 1 << 18  # rows of a block at most, so that a task's memory does not grow with the input
+_CHUNK_ROWS = 1 << 15  # rows worked on at once (what they need stays in the processor's cache)
+_JOINT_BINS = 1024    # features are counted together while their bins combine to so many cells at most,
+_JOINT_CELLS = 1 << 15  # and to so many over all open nodes
 _TIE = 1e-12          # gains this close (relative) are one: the first feature and bin wins
 
 
@@ -57,21 +63,46 @@ def bin_edges(df: DataFrame, features: list[str], bins: int = BINS) -> list[list
     return [sorted(set(row[i] or [])) for i in range(len(features))]
 
 
-def _blocks(df: DataFrame, features: list[str], label: str, edges: list[list[float]]):
-    """RDD of (bins, label) per partition, written first: bin k holds ``edges[k-1] < x <= edges[k]``, the last bin nulls and NaN too."""
-    x = [F.col(f"`{c}`").cast("double") for c in features]
-    binned = [F.when(v.isNull() | F.isnan(v), len(e)).otherwise(
-        sum(((v > F.lit(float(t))).cast("int") for t in e), F.lit(0))).cast("byte") for v, e in zip(x, edges)]
-    path = scratch_path(df.sparkSession, "boost_rows")
-    df.select(F.array(*binned).alias("bins"), F.col(label).cast("double").alias("y")).write.parquet(path)
-    rows = df.sparkSession.read.parquet(path)
+def _binned(x: np.ndarray, edges: list[list[float]]) -> np.ndarray:
+    """(features, rows) bins of a (rows, features) matrix: bin k holds ``edges[k-1] < x <= edges[k]``, the last bin NaN too."""
+    out = np.empty((len(edges), len(x)), np.uint8)
+    for j, e in enumerate(edges):
+        out[j] = np.where(np.isnan(x[:, j]), len(e), np.searchsorted(np.sort(np.array(e, float)), x[:, j]))
+    return out
 
-    def block(it):
-        got = [(r[0], r[1]) for r in it]
-        if got:
-            yield np.array([g[0] for g in got], np.uint8), np.array([g[1] for g in got])
 
-    return rows.rdd.mapPartitions(block)
+def _blocks(df: DataFrame, features: list[str], label: str, edges: list[list[float]]):
+    """RDD of (bins, label) blocks of at most ``_BLOCK_ROWS`` rows, written first; nulls are binned as NaN."""
+    names = [f"x{i}" for i in range(len(features))]
+
+    def packed(batches):
+        held, n = [], 0
+        for batch in batches:
+            y = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+            bins = _binned(matrix(batch, tuple(names)), edges)
+            while len(y):
+                some = _BLOCK_ROWS - n
+                held.append((bins[:, :some], y[:some]))
+                n += len(held[-1][1])
+                bins, y = bins[:, some:], y[some:]
+                if n == _BLOCK_ROWS:
+                    yield one(held)
+                    held, n = [], 0
+        if n:
+            yield one(held)
+
+    def one(held):
+        bins, y = np.hstack([h[0] for h in held]), np.concatenate([h[1] for h in held]).astype(float)
+        return pa.RecordBatch.from_arrays([pa.array([bins.tobytes()], pa.binary()), pa.array([y.tobytes()], pa.binary())], names=["bins", "y"])
+
+    def block(row):
+        y = np.frombuffer(row[1])
+        return np.frombuffer(row[0], np.uint8).reshape(len(features), len(y)), y
+
+    path = scratch_path(df.sparkSession, "boost_rows")
+    rows = df.select(*[F.col(f"`{c}`").cast("double").alias(x) for c, x in zip(features, names)], F.col(f"`{label}`").cast("double").alias("y"))
+    rows.mapInArrow(packed, "bins binary, y binary").write.parquet(path)
+    return df.sparkSession.read.schema("bins binary, y binary").parquet(path).rdd.map(block)
 
 
 @dataclass
@@ -86,18 +117,42 @@ class _Growing:
         return _Growing(trial, [[-1, 0, 0, 0, 0.0, 0.0]], [0])
 
 
-def _descend(nodes: list[list], bins: np.ndarray) -> np.ndarray:
-    feature = np.array([n[0] for n in nodes])
-    cut = np.array([n[1] for n in nodes])
-    left, right = np.array([n[2] for n in nodes]), np.array([n[3] for n in nodes])
-    at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
-    while True:
-        f = feature[at]
-        inner = f >= 0
-        if not inner.any():
-            return at
-        goes_left = bins[rows, np.maximum(f, 0)] <= cut[at]
-        at = np.where(inner, np.where(goes_left, left[at], right[at]), at)
+def _steps(nodes: list[list]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Depth of a tree, and feature, cut and left child per node; a leaf is its own left child and sends every row there."""
+    depth, level = 0, [0]
+    while level := [child for i in level if nodes[i][0] >= 0 for child in nodes[i][2:4]]:
+        depth += 1
+    inner = np.array([node[0] >= 0 for node in nodes])
+    feature, cut, left = (np.array([node[k] for node in nodes], np.intp) for k in range(3))
+    return depth, np.where(inner, feature, 0), np.where(inner, cut, 255).astype(np.uint8), np.where(inner, left, np.arange(len(nodes)))
+
+
+def _descend(steps: tuple[int, np.ndarray, np.ndarray, np.ndarray], bins: np.ndarray) -> np.ndarray:
+    """Node that each row of contiguous (features, rows) bins ends in; the right child is the left one's neighbour."""
+    depth, feature, cut, left = steps
+    flat, rows, first = bins.ravel(), np.arange(bins.shape[1]), feature * bins.shape[1]
+    at = np.zeros(bins.shape[1], np.intp)
+    for _ in range(depth):
+        goes_right = flat.take(first.take(at) + rows) > cut.take(at)
+        at = left.take(at) + goes_right
+    return at
+
+
+def _chunks(bins: np.ndarray, size: int) -> Iterator[tuple[slice, np.ndarray]]:
+    for start in range(0, bins.shape[1], size):
+        rows = slice(start, start + size)
+        yield rows, np.ascontiguousarray(bins[:, rows])
+
+
+def _moved(block, grown: list[list[list]]):
+    """The block with each trial's margins moved by its new tree."""
+    bins, y, margins = block
+    margins = margins.copy()
+    trees = [(_steps(nodes), np.array([node[4] for node in nodes])) for nodes in grown]
+    for rows, part in _chunks(bins, _CHUNK_ROWS):
+        for t, (steps, value) in enumerate(trees):
+            margins[t, rows] += value.take(_descend(steps, part))
+    return bins, y, margins
 
 
 def _gradients(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,37 +160,80 @@ def _gradients(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return p - y, p * (1.0 - p)
 
 
-def _histograms(block, trees: list[tuple[list[list], list[int]]], width: int):
-    """((trial, i), (3, features, bins)) of a block for each trial's i-th open node: gradients, Hessians and rows."""
-    bins, y, margins = block
-    n, p = bins.shape
-    columns = [bins[:, j].astype(np.int64) for j in range(p)]
-    for t, (nodes, opened) in enumerate(trees):
-        if not opened:
-            continue
-        at = _descend(nodes, bins)
-        place = np.full(len(nodes), -1, np.int64)
-        place[opened] = np.arange(len(opened))
-        node = place[at]
-        g, h = _gradients(margins[t], y)
-        rows = node >= 0
-        some = slice(None) if rows.all() else rows
-        node, g, h = node[some] * width, g[some], h[some]
-        size = len(opened) * width
-        out = np.zeros((len(opened), 3, p, width))
-        for j in range(p):
-            cell = node + columns[j][some]
-            for k, w in enumerate((g, h, None)):
-                out[:, k, j, :] = np.bincount(cell, weights=w, minlength=size)[:size].reshape(len(opened), width)
-        yield from (((t, i), one) for i, one in enumerate(out))
-
-
-def _level_splits(state, asked: list[tuple[list[list], list[int]]], edges: list[list[float]], width: int) -> dict:
+def _together(widths: list[int], nodes: int) -> list[tuple[int, ...]]:
+    """Features in runs whose bins combine to few cells: a run is counted in one pass over the rows."""
+    most, runs = min(_JOINT_BINS, _JOINT_CELLS // nodes), []
+    for j, w in enumerate(widths):
+        if runs and math.prod(widths[i] for i in runs[-1]) * w <= most:
+            runs[-1] += (j,)
+        else:
+            runs.append((j,))
+    return runs
+
+
+def _joint(part: np.ndarray, run: tuple[int, ...], widths: list[int]) -> np.ndarray:
+    """Number of each row's combination of bins of the run's features."""
+    code = part[run[0]].astype(np.intp)
+    for j in run[1:]:
+        code *= widths[j]
+        code += part[j]
+    return code
+
+
+class _Counts:
+    """Gradients, Hessians and rows of one trial's open nodes per combination of bins, for each run of features."""
+
+    def __init__(self, nodes: list[list], opened: list[int], widths: list[int]):
+        self.steps, self.widths, self.opened = _steps(nodes), widths, len(opened)
+        self.place = np.full(len(nodes), len(opened), np.intp)  # rows of finished nodes count as one node more, left out at the end
+        self.place[opened] = np.arange(len(opened))
+        self.runs = _together(widths, len(opened) + 1)
+        self.cells = [math.prod(widths[j] for j in run) for run in self.runs]
+        self.sums = [np.zeros((3, (len(opened) + 1) * c)) for c in self.cells]
+
+    def add(self, part: np.ndarray, codes: dict, margin: np.ndarray, y: np.ndarray) -> None:
+        node = self.place.take(_descend(self.steps, part))
+        g, h = _gradients(margin, y)
+        for run, c, out in zip(self.runs, self.cells, self.sums):
+            if run not in codes:
+                codes[run] = _joint(part, run, self.widths)
+            cell = node * c + codes[run]
+            for k, weights in enumerate((g, h, None)):
+                out[k] += np.bincount(cell, weights=weights, minlength=out.shape[1])
+
+    def histograms(self) -> np.ndarray:
+        """(open nodes, 3, features, bins)."""
+        hist = np.zeros((self.opened, 3, len(self.widths), max(self.widths)))
+        for run, out in zip(self.runs, self.sums):
+            joint = out.reshape(3, self.opened + 1, *[self.widths[j] for j in run])[:, :-1]
+            for axis, j in enumerate(run, 2):
+                others = tuple(i for i in range(2, joint.ndim) if i != axis)
+                hist[:, :, j, :self.widths[j]] = joint.sum(axis=others).swapaxes(0, 1)
+        return hist
+
+
+def _histograms(blocks, trees: list[tuple[list[list], list[int]]], widths: list[int]) -> Iterator[tuple]:
+    """((trial, i), (3, features, bins)) over all blocks for each trial's i-th open node: gradients, Hessians and rows."""
+    counts = {t: _Counts(nodes, opened, widths) for t, (nodes, opened) in enumerate(trees) if opened}
+    size = max([_CHUNK_ROWS, *[out.shape[1] for c in counts.values() for out in c.sums]])
+    some = False
+    for bins, y, margins in blocks:
+        some = True
+        for rows, part in _chunks(bins, size):
+            codes: dict = {}
+            for t, c in counts.items():
+                c.add(part, codes, margins[t, rows], y[rows])
+    if some:
+        yield from (((t, i), one) for t, c in counts.items() for i, one in enumerate(c.histograms()))
+
+
+def _level_splits(state, asked: list[tuple[list[list], list[int]]], edges: list[list[float]]) -> dict:
     """{(trial, i): (sums of the node, its split or None)} for each trial's i-th open node, summed and chosen in tasks.
 
     Partial histograms are added in order of their partitions, so a run gives the same trees again.
     """
     parts = state.getNumPartitions()
+    widths = [1 + len(e) for e in edges]
     tasks = -(-sum(len(opened) for _, opened in asked) // _NODES_A_TASK)
     tasks = max(1, min(tasks, max(parts, state.context.defaultParallelism)))
 
@@ -143,7 +241,7 @@ def _level_splits(state, asked: list[tuple[list[list], list[int]]], edges: list[
         return reduce(np.add, [one for _, one in sorted(found, key=lambda x: x[0])])
 
     sums = state.mapPartitionsWithIndex(lambda number, blocks: (
-        (key, (number, one)) for block in blocks for key, one in _histograms(block, asked, width)))
+        (key, (number, one)) for key, one in _histograms(blocks, asked, widths)))
     while parts > _FAN_IN:                  # first sums of neighbours, so that no task holds all partitions' histograms
         sums = (sums.map(lambda x: ((x[0], x[1][0] // _FAN_IN), x[1])).groupByKey(max(tasks, -(-parts // _FAN_IN)))
                 .map(lambda x: (x[0][0], (x[0][1], in_order(x[1])))))
@@ -181,7 +279,7 @@ def _leaf(sums: list[float], rate: float) -> float:
 
 def fit_trials(df: DataFrame, features: list[str], label: str, trials: list[Trial],
                edges: list[list[float]] | None = None) -> list[Ensemble]:
-    """One ensemble per trial, all grown in the same passes over ``df`` (its partitions are kept).
+    """One ensemble per trial, all grown in the same passes over all rows of ``df``.
 
     Rows with a null label are left out; null and NaN features go right at
     every split.  ``edges`` (split points per feature) default to quantiles.
@@ -190,7 +288,6 @@ def fit_trials(df: DataFrame, features: list[str], label: str, trials: list[Tria
     edges = bin_edges(df, features) if edges is None else edges
     if any(len(e) > 120 for e in edges):
         raise ValueError("at most 120 split points per feature")
-    width = 1 + max((len(e) for e in edges), default=0)
     sc = df.sparkSession.sparkContext
     raw = _blocks(df, features, label, edges)
     rows, positive = raw.map(lambda b: np.array([len(b[1]), b[1].sum()])).fold(np.zeros(2), np.add)
@@ -208,7 +305,7 @@ def fit_trials(df: DataFrame, features: list[str], label: str, trials: list[Tria
             asked = [(g.nodes, g.open if depth < g.trial.max_depth else []) for g in growing]
             if not any(o for _, o in asked):
                 break
-            chosen = _level_splits(state, asked, edges, width)
+            chosen = _level_splits(state, asked, edges)
             for t, (g, (_, opened)) in enumerate(zip(growing, asked)):
                 fresh = []
                 for i, node in enumerate(opened):
@@ -229,11 +326,7 @@ def fit_trials(df: DataFrame, features: list[str], label: str, trials: list[Tria
         for d, nodes, t in zip(done, grown, trials):
             if number < t.n_trees:
                 d.append(nodes)
-
-        def moved(b, grown=grown):
-            return b[0], b[1], b[2] + np.stack([np.array([n[4] for n in nodes])[_descend(nodes, b[0])] for nodes in grown])
-
-        last, state = state, state.map(moved)
+        last, state = state, state.map(lambda b, grown=grown: _moved(b, grown))
         if (number + 1) % CHECKPOINT_TREES == 0:
             path = scratch_path(df.sparkSession, "boost_margins")
             state.saveAsPickleFile(path, 1)

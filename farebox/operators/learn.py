@@ -70,19 +70,27 @@ def feature_columns(df: DataFrame, label: str) -> list[str]:
     return [c for c in df.columns if c != label]
 
 
-# A fit uses about this many training rows at most (the reference's training size);
-# evaluation, bias and attributions always run over all rows.
+# ``fit_input`` draws about this many rows where no other bound (or none) is asked for.
 FIT_ROWS = 150_000
+# Partitions of a fit hold so many rows; beyond two per core (and 16 in all) they grow, up to the larger number.
 FIT_ROWS_PER_PARTITION = 10_000
+FIT_MOST_ROWS_PER_PARTITION = 250_000
 
 
 def _prepared(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn(label, F.col(label).cast("double"))
 
 
+def fit_partitions(rows: int, cores: int) -> int:
+    """Partitions of a fit over ``rows`` rows: small ones while they are few, never one, whole waves of tasks beyond."""
+    few = min(-(-rows // FIT_ROWS_PER_PARTITION), max(16, 2 * cores))
+    many = -(-rows // FIT_MOST_ROWS_PER_PARTITION)
+    return max(2, few, -(-many // cores) * cores if many > few else 0)
+
+
 def fit_input(df: DataFrame, label: str, max_rows: int | None = FIT_ROWS) -> DataFrame:
     """Training rows of a fit: all of ``df``, or about ``max_rows`` drawn one by one
-    where there are more (None: no bound), in partitions of ``FIT_ROWS_PER_PARTITION`` and never in one.
+    where there are more (None: no bound), in :func:`fit_partitions` partitions.
 
     Rows are drawn and dealt out by a seeded salt of each row, so equal rows are drawn
     independently and meet in no one task; the drawn rows are written with it, so a re-run
@@ -99,7 +107,7 @@ def fit_input(df: DataFrame, label: str, max_rows: int | None = FIT_ROWS) -> Dat
     path = scratch_path(df.sparkSession, "fit_rows")
     drawn.write.parquet(path)
     drawn = df.sparkSession.read.schema(drawn.schema).parquet(path)
-    parts = max(2, -(-rows // FIT_ROWS_PER_PARTITION))
+    parts = fit_partitions(rows, df.sparkSession.sparkContext.defaultParallelism)
     return drawn.repartition(parts, F.xxhash64("__salt")).drop("__salt")
 
 
@@ -183,11 +191,11 @@ def tuning_points(trials: int = TUNING_TRIALS, seed: int = SEED) -> list[tuple[f
 
 def tune(train: DataFrame, validation: DataFrame, label: str, trials: int = TUNING_TRIALS,
          trees: int = TUNING_TREES) -> tuple[E.Ensemble, list[dict]]:
-    """Fit all trials on ``train`` in shared passes, score all on ``validation`` in one, rank by AUC (all in one query)."""
+    """Fit all trials on all rows of ``train`` in shared passes, score all on ``validation`` in one, rank by AUC (all in one query)."""
     points = tuning_points(trials)
     for lr, depth in points:
         validate_hyperparameters(Hyperparameters(lr, trees, depth))
-    fitted = boost.fit_trials(fit_input(train, label), feature_columns(train, label), label,
+    fitted = boost.fit_trials(fit_input(train, label, max_rows=None), feature_columns(train, label), label,
                               [boost.Trial(lr, depth, trees) for lr, depth in points])
     scored = E.score_all(fitted, validation, [label])
     auc = {r["model"]: float(r["auc"]) for r in A.auc_by(scored, ["model"], label).collect()}
