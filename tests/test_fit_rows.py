@@ -73,6 +73,11 @@ def test_best_trial_query_fits_on_every_row(spark, fits):
     assert len(got) == 1 and got[0]["best_validation_auc"] > 0.5
 
 
+def test_tuning_properties_query_fits_on_every_row(spark, fits):
+    got, _ = run_query(spark, fits, "m12c_tuning_properties", [L.TUNING_TRIALS])
+    assert [tuple(r) for r in got] == [(L.TUNING_TRIALS, L.TUNING_TRIALS, True, True)]
+
+
 @pytest.mark.parametrize("blocks", [1, 3])
 def test_histograms_count_every_row_of_every_block(monkeypatch, blocks):
     monkeypatch.setattr(boost, "_CHUNK_ROWS", 70)
