@@ -12,8 +12,8 @@ They differ on purpose -- kept apart and named (SURVEY §2.12):
 Row positions are replaced by a hash of ``trip_key``: sampling picks the
 smallest hashes, the split is a hash bucket.  Both are deterministic.  By
 default a dataset holds every row, so evaluation, bias, attributions and
-feature ingest see the whole data, and so does tuning; other model fits bound their
-training rows (``learn.FIT_ROWS``).  ``sample_rows`` cuts the dataset itself where that is
+feature ingest see the whole data, and so do tuning and the job models; only the
+candidates' fits bound their rows (``learn.FIT_ROWS``).  ``sample_rows`` cuts the dataset itself where that is
 wanted.  The rows are written once to the shared folder, so everything
 downstream reads that table instead of re-running the pipeline from the raw scan.
 """

@@ -78,6 +78,22 @@ def test_tuning_properties_query_fits_on_every_row(spark, fits):
     assert [tuple(r) for r in got] == [(L.TUNING_TRIALS, L.TUNING_TRIALS, True, True)]
 
 
+def test_boosting_fits_on_every_row(spark):
+    df = made(spark)
+    model = L.train_boosted(df, "y", L.Hyperparameters(0.5, 1, 1))
+    tree, rate = model.trees[0], 1 / (1 + math.exp(-log_odds(df)))
+    assert model.start == pytest.approx(log_odds(df), abs=1e-12)
+    sides = {r["left"]: r for r in df.groupBy((F.col("x") <= tree.threshold[0]).alias("left")).agg(F.count("*").alias("n"), F.sum("y").alias("k")).collect()}
+    for node, left in ((tree.left[0], True), (tree.right[0], False)):
+        n, k = sides[left]["n"], sides[left]["k"]
+        assert tree.value[node] == pytest.approx(-0.5 * (n * rate - k) / (n * rate * (1 - rate) + boost.L2), rel=1e-9)
+
+
+def test_run_log_query_fits_on_every_row(spark, fits):
+    got, _ = run_query(spark, fits, "m13_run_log_compare", [1, L.TUNING_TRIALS])
+    assert sorted(r["run_name"] for r in got) == ["hpo-001", "hpo-002", "hpo-003", "hpo-004", "train-baseline"]
+
+
 @pytest.mark.parametrize("blocks", [1, 3])
 def test_histograms_count_every_row_of_every_block(monkeypatch, blocks):
     monkeypatch.setattr(boost, "_CHUNK_ROWS", 70)
