@@ -94,6 +94,11 @@ def test_run_log_query_fits_on_every_row(spark, fits):
     assert sorted(r["run_name"] for r in got) == ["hpo-001", "hpo-002", "hpo-003", "hpo-004", "train-baseline"]
 
 
+def test_dataset_a_scores_come_from_a_fit_on_every_row(spark, fits):
+    got, _ = run_query(spark, fits, "m8d_gbt_dataset_a", [1])
+    assert got and all(0 <= r["score"] <= 1 for r in got)
+
+
 @pytest.mark.parametrize("blocks", [1, 3])
 def test_histograms_count_every_row_of_every_block(monkeypatch, blocks):
     monkeypatch.setattr(boost, "_CHUNK_ROWS", 70)
