@@ -99,6 +99,11 @@ def test_dataset_a_scores_come_from_a_fit_on_every_row(spark, fits):
     assert got and all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_dataset_a_properties_come_from_a_fit_on_every_row(spark, fits):
+    got, rows = run_query(spark, fits, "m8q_gbt_dataset_a_properties", [1])
+    assert [tuple(r) for r in got] == [(rows, rows, True)]
+
+
 @pytest.mark.parametrize("blocks", [1, 3])
 def test_histograms_count_every_row_of_every_block(monkeypatch, blocks):
     monkeypatch.setattr(boost, "_CHUNK_ROWS", 70)
